@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, packing, sharding, substrings
+from tastegrid.llm import byte_bpe, packing, sharding, substrings, suffixes
 from tastegrid.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op5_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_windows(documents(spark, sf_dir)).drop("kept")
+
+
+@registered
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed_bytes(documents(spark, sf_dir)).drop("kept")

@@ -25,15 +25,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(df: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """(doc_id, text, _id, _key): null text is empty, and null doc_id counts as the largest.
+def keyed(df: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, _id, _key) and the columns ``also``: null text is empty, and null doc_id counts as the largest.
 
     ``_key`` tells rows apart that share a doc_id but not a text.
     """
-    text_col = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.col(doc).alias("doc_id"), text_col.alias("text"),
-                     F.coalesce(F.col(doc).cast("long"), F.lit(LAST_ID)).alias("_id"),
-                     F.xxhash64(text_col).alias("_key"))
+    text_col = F.coalesce(F.col("text"), F.lit(""))
+    return df.select(F.col("doc_id"), text_col.alias("text"),
+                     F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id"),
+                     F.xxhash64(text_col).alias("_key"), *also)
 
 
 def slots(df: DataFrame, group: str, spread: Column, order: list[Column], name: str,
