@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, packing, sharding, substrings, suffixes
+from tastegrid.llm import byte_bpe, jaccard, packing, sharding, substrings, suffixes
 from tastegrid.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@registered
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(documents(spark, sf_dir))
+
+
 @registered
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
