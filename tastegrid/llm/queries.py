@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, jaccard, packing, sharding, substrings, suffixes
-from tastegrid.llm.tables import documents
+from tastegrid.llm import byte_bpe, jaccard, packing, rules, sharding, substrings, suffixes
+from tastegrid.llm.tables import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,13 @@ def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_windows(documents(spark, sf_dir)).drop("kept")
 
 
+@registered
+def op9_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = rules.rule_verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                           "base_failed", "kept")
+
+
 @registered
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_bytes(documents(spark, sf_dir)).drop("kept")
