@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, jaccard, packing, rules, sharding, substrings, suffixes
+from tastegrid.llm import byte_bpe, fingerprints, jaccard, packing, rules, sharding, substrings, suffixes
 from tastegrid.llm.tables import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+@registered
+def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, sf_dir))
+
+
 @registered
 def op8_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed_windows(documents(spark, sf_dir)).drop("kept")
