@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, fingerprints, jaccard, packing, rules, sharding, substrings, suffixes
+from tastegrid.llm import byte_bpe, fingerprints, jaccard, packing, quality, rules, sharding, substrings, suffixes, toxicity
 from tastegrid.llm.tables import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
 
+@registered
+def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @registered
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digests(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
@@ -45,6 +50,11 @@ def op5_longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+@registered
+def op6_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @registered
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(documents(spark, sf_dir))
