@@ -3,12 +3,12 @@
 Terms are whole words and word beginnings (stems) that labelled documents show
 to mark toxic text: their share of toxic documents is tested against the overall
 share, with the error divided over all candidate terms, and must reach
-``PRECISION``.  The terms form a trie.  A Levenshtein automaton of each unusual
+``PRECISION``.  A stem goes if a shorter one is as precise.  The terms form a trie.  A Levenshtein automaton of each unusual
 word walks the trie and finds whole-word terms of five letters or more within one
 edit; spellings that clean labelled documents use are no match.
 
-Each match weighs as much as matches of its kind proved right on the labelled
-sample, less if the words around it quote rather than abuse.  Weights combine as
+Each match weighs as much as its term (near spellings: as all of them) proved
+right on the labelled sample, less if the words around it quote rather than abuse.  Weights combine as
 independent evidence: score = 1 - product of (1 - weight).
 
 Null and empty texts have no match and score the rate of toxic documents without
@@ -18,7 +18,6 @@ a match.  Without labels there are no terms.  Repeated rows are scored one by on
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,10 +30,11 @@ from tastegrid.llm.samples import FIT_ROWS, fit_sample, held_out
 
 THRESHOLD = 0.7
 MOST_TERMS = 2000
-PRECISION = 0.9
-STEM_LENGTHS = (4, 5, 6)
+PRECISION = 0.75
+STEM_LENGTHS = (4, 5, 6, 7, 8)
 ERROR = 0.05
 FUZZY_LENGTH = 5
+FUZZY_WEIGHT = 0.9  # misspellings are sought of terms that are this precise
 CONTEXT = 6
 MEMO_WORDS = 400_000
 # Signs of quotation around a term.
@@ -42,6 +42,7 @@ REPORTING = frozenset("said says say called calls quote quoted quotes wrote writ
                       "reported accused sagte nannte schrieb wort dit appelle mot dijo palabra llamado".split())
 OPENING, CLOSING = "“«„‘", "”»“’"
 WORDS = re.compile(r"\w+")
+NONE = ("", 0.0)
 
 
 class Trie:
@@ -56,15 +57,14 @@ class Trie:
             node[""] = term
 
     def prefix(self, word: str) -> str | None:
-        """The shortest term that begins the word."""
-        node = self.root
+        """The longest term that begins the word."""
+        node, best = self.root, None
         for letter in word:
             node = node.get(letter)
             if node is None:
-                return None
-            if "" in node:
-                return node[""]
-        return None
+                break
+            best = node.get("", best)
+        return best
 
     def within(self, word: str, edits: int = 1) -> str | None:
         """A term within so many edits of the word, by intersection with its Levenshtein automaton.
@@ -98,10 +98,10 @@ class Trie:
 class Lexicon:
     """Terms and what their matches weigh."""
 
-    words: list[str] = field(default_factory=list)
-    stems: list[str] = field(default_factory=list)
+    words: dict[str, float] = field(default_factory=dict)
+    stems: dict[str, float] = field(default_factory=dict)
     clean: set[str] = field(default_factory=set)
-    weights: dict[str, float] = field(default_factory=lambda: {"word": 0.9, "stem": 0.9, "near": 0.5})
+    near: float = 0.5
     base: float = 0.05
     quoted: float = 0.3
 
@@ -114,9 +114,8 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.words = set(lexicon.words)
-        self.stems = Trie(lexicon.stems)
-        near = [w for w in lexicon.words if len(w) >= FUZZY_LENGTH]
+        self.stems = Trie(list(lexicon.stems))
+        near = [w for w in lexicon.words if len(w) >= FUZZY_LENGTH and lexicon.words[w] >= FUZZY_WEIGHT]
         self.near = Trie(near)
         # one edit leaves the first or the second half of a term as it is
         self.heads = {w[:len(w) // 2] for w in near}
@@ -125,40 +124,42 @@ class Matcher:
         self.tail_sizes = sorted({len(t) for t in self.tails})
         self.kinds = Memo(self.kind, MEMO_WORDS)
 
-    def kind(self, word: str) -> str:
-        """word, stem, near or the empty text."""
-        if word in self.words:
-            return "word"
-        if self.stems.prefix(word):
-            return "stem"
-        if len(word) < FUZZY_LENGTH - 1 or word in self.lexicon.clean:
-            return ""
+    def kind(self, word: str) -> tuple[str, float]:
+        """(word, stem, near or the empty text; weight)."""
+        lexicon = self.lexicon
+        if word in lexicon.words:
+            return "word", lexicon.words[word]
+        stem = self.stems.prefix(word)
+        if stem:
+            return "stem", lexicon.stems[stem]
+        if len(word) < FUZZY_LENGTH - 1 or word in lexicon.clean:
+            return NONE
         if (any(word[:n] in self.heads for n in self.head_sizes)
                 or any(word[-n:] in self.tails for n in self.tail_sizes)) and self.near.within(word):
-            return "near"
-        return ""
+            return "near", lexicon.near
+        return NONE
 
-    def matches(self, text: str) -> list[tuple[str, str, bool]]:
-        """(kind, spelling, quoted) of every match in the text."""
+    def matches(self, text: str) -> list[tuple[str, str, float, bool]]:
+        """(kind, spelling, weight, quoted) of every match in the text."""
         lower = text.lower()
         words = WORDS.findall(lower)
         kinds = list(map(self.kinds.__getitem__, words))
-        if not any(kinds):
+        if kinds.count(NONE) == len(kinds):
             return []
         spans = [m.span() for m in WORDS.finditer(lower)]
         out = []
-        for i, kind in enumerate(kinds):
+        for i, (kind, weight) in enumerate(kinds):
             if kind:
                 around = words[max(0, i - CONTEXT):i] + words[i + 1:i + 1 + CONTEXT]
                 left = lower[spans[max(0, i - CONTEXT)][0]:spans[i][0]]
                 right = lower[spans[i][1]:spans[min(len(words) - 1, i + CONTEXT)][1] + 1]
-                out.append((kind, words[i], quotes(left, right) or not REPORTING.isdisjoint(around)))
+                out.append((kind, words[i], weight, quotes(left, right) or not REPORTING.isdisjoint(around)))
         return out
 
     def score(self, text: str) -> float:
         rest = 1 - self.lexicon.base
-        for kind, _, quoted in self.matches(text):
-            rest *= 1 - self.lexicon.weights[kind] * (self.lexicon.quoted if quoted else 1)
+        for _, _, weight, quoted in self.matches(text):
+            rest *= 1 - weight * (self.lexicon.quoted if quoted else 1)
         return 1 - rest
 
 
@@ -207,17 +208,18 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int
     if not toxic or toxic == n:
         return Lexicon(base=(toxic + 0.5) / (n + 1) if n else 0.5)
     terms = significant_terms(term_counts(sample), toxic / n).collect()  # at most MOST_TERMS
-    words = sorted({t["term"] for t in terms if not t["stem"]})
-    stems: list[str] = []
-    for stem in sorted({t["term"] for t in terms if t["stem"]}, key=len):
-        if not any(stem.startswith(s) for s in stems):
-            stems.append(stem)
-
+    weigh = lambda t: (t["toxic"] + 0.5) / (t["docs"] + 1)
+    words = {t["term"]: weigh(t) for t in terms if not t["stem"]}
+    stems: dict[str, float] = {}
+    for t in sorted((t for t in terms if t["stem"]), key=lambda t: len(t["term"])):
+        shorter = [stems[t["term"][:n]] for n in STEM_LENGTHS if t["term"][:n] in stems]
+        if weigh(t) > max(shorter, default=0.0):
+            stems[t["term"]] = weigh(t)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Lexicon(words, stems).matcher()
         for batch in batches:
-            got = [[f"{k}:{w}" for k, w in {(k, w) for k, w, _ in matcher.matches(t)}]
+            got = [[f"{k}:{w}" for k, w in {(k, w) for k, w, _, _ in matcher.matches(t)}]
                    for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.string()))],
                                              ["y", "found"])
@@ -225,25 +227,12 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int
     # kinds and near spellings of a bounded sample
     seen = sample.select("y", "text").mapInArrow(found, "y int, found array<string>").collect()
     clean = {f.split(":", 1)[1] for r in seen if not r["y"] for f in r["found"] if f.startswith("near:")}
-    draft = Lexicon(words, sorted(stems), clean)
-    right: Counter[str] = Counter()
-    total: Counter[str] = Counter()
-    none = defaultdict(int)
-    for r in seen:
-        kinds = {f.split(":", 1)[0] for f in r["found"]}
-        strongest = next((k for k in ("word", "stem", "near") if k in kinds), None)
-        if strongest is None:
-            none[r["y"]] += 1
-        else:
-            right[strongest] += r["y"]
-            total[strongest] += 1
-    for kind in ("word", "stem"):
-        if total[kind]:
-            draft.weights[kind] = (right[kind] + 0.5) / (total[kind] + 1)
+    near = [r["y"] for r in seen if any(f.startswith("near:") for f in r["found"])
+            and not any(f[:5] in ("word:", "stem:") for f in r["found"])]
+    none = [r["y"] for r in seen if not r["found"]]
     # one near spelling alone never decides: unseen spellings of clean texts come near terms too
-    draft.weights["near"] = min(0.6, (right["near"] + 0.5) / (total["near"] + 1)) if total["near"] else 0.5
-    draft.base = (none[1] + 0.5) / (none[0] + none[1] + 1)
-    return draft
+    return Lexicon(words, stems, clean, min(0.6, (sum(near) + 0.5) / (len(near) + 1)) if near else 0.5,
+                   (sum(none) + 0.5) / (len(none) + 1))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
