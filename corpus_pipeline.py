@@ -47,8 +47,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = docs.select("doc_id", "text", F.struct(*others).alias("_row"))
     cut = suffixes.removed_bytes(rows, also=("_row",))
     # a cut inside a character leaves bytes that are no text; they go as well
-    text = F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")
-    out = cut.withColumn("text", F.when(F.col("n_removed") > 0, text).otherwise(F.col("kept").cast("string")))
+    kept = F.col("kept").cast("string")
+    bare = F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))
+    out = cut.withColumn("text", F.when(F.is_valid_utf8(kept), kept).otherwise(bare))
     fields = {c: F.col(f"_row.{c}") for c in others} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in others:
         fields["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)

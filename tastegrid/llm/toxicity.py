@@ -33,6 +33,8 @@ MOST_TERMS = 2000
 PRECISION = 0.75
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 ERROR = 0.05
+CLEAN_SHARE = 0.001  # of clean documents may be scored toxic in the sample
+LEAST_WEIGHTS = (0.75, 0.8, 0.85, 0.9, 0.95, 0.98)
 FUZZY_LENGTH = 5
 FUZZY_WEIGHT = 0.9  # misspellings are sought of terms that are this precise
 CONTEXT = 6
@@ -219,8 +221,7 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Lexicon(words, stems).matcher()
         for batch in batches:
-            got = [[f"{k}:{w}" for k, w in {(k, w) for k, w, _, _ in matcher.matches(t)}]
-                   for t in batch.column(1).to_pylist()]
+            got = [[f"{k}:{w}" for k, w, _, _ in matcher.matches(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.string()))],
                                              ["y", "found"])
 
@@ -231,8 +232,26 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int
             and not any(f[:5] in ("word:", "stem:") for f in r["found"])]
     none = [r["y"] for r in seen if not r["found"]]
     # one near spelling alone never decides: unseen spellings of clean texts come near terms too
-    return Lexicon(words, stems, clean, min(0.6, (sum(near) + 0.5) / (len(near) + 1)) if near else 0.5,
-                   (sum(none) + 0.5) / (len(none) + 1))
+    weight = min(0.6, (sum(near) + 0.5) / (len(near) + 1)) if near else 0.5
+    lexicon = Lexicon(words, stems, clean, weight, (sum(none) + 0.5) / (len(none) + 1))
+    # the laxest terms that leave clean documents of the sample alone
+    for least in LEAST_WEIGHTS:
+        lexicon.words = {t: w for t, w in words.items() if w >= least}
+        lexicon.stems = {t: w for t, w in stems.items() if w >= least}
+        kind = lexicon.matcher().kind
+        wrong = sum(rest_of(kind(f.split(":", 1)[1])[1] for f in r["found"]) <= 1 - THRESHOLD
+                    for r in seen if not r["y"])
+        if wrong <= CLEAN_SHARE * (n - toxic):
+            break
+    return lexicon
+
+
+def rest_of(weights: Iterator[float]) -> float:
+    """Chance that no match of these weights is right."""
+    rest = 1.0
+    for weight in weights:
+        rest *= 1 - weight
+    return rest
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
