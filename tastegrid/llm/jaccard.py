@@ -8,9 +8,9 @@
    these prefixes hold the rarest ones.  Sets that share a prefix shingle form a
    tile; tiles are banded by set size, because linked sets are in the same or
    neighbouring bands.  A tile larger than ``tile_rows`` is split by hash.
-3. In every part of a tile each set is tried against the one before it and
-   against the part's smallest; links found so connect most of a group at a cost
-   in proportion to its size.
+3. In every part of a tile each set is tried against the one before it in size
+   and against the part's hub, the set in most tiles; links found so connect most
+   of a group at a cost in proportion to its size.
 4. Then only sets of a tile that are in different components are compared.  Each
    carries a bitmap of hashed shingles: bits that differ bound the overlap from
    above.  Pairs within the bound are checked by exact sorted-array intersection.
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,11 @@ from pyspark.sql import functions as F
 from tastegrid.llm.arrays import Slices, lists, mixed, text_chunks, word_hashes
 from tastegrid.llm.components import components
 from tastegrid.llm.tables import written
+from tastegrid.llm.windows import among, hashed_ids, id_bits, sketch
 
 SKETCH_BITS = 18
-WORDS = 16  # 64-bit words of a bitmap
+TILE_CELLS = 1 << 25
+WORDS = 32  # 64-bit words of a bitmap
 FAN_IN = 64
 
 
@@ -116,10 +119,35 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(signed, kind)
 
 
-def set_arrays(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id and the sorted shingle hashes of every text, as bytes."""
+def postings(sets: DataFrame) -> DataFrame:
+    """tile, doc_id, n of the prefix shingles that may occur in two sets or more."""
+    bits = sets.sparkSession.sparkContext.broadcast(sketch(
+        sets.select("prefix"), lambda c: iter([np.asarray(c.flatten()).view(np.uint64)]), TILE_CELLS))
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            values = np.asarray(batch.column(2).flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(batch.column(2))))
+            keep = among(seen, values.view(np.uint64), TILE_CELLS)
+            rows = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[keep]), batch.column(0).take(rows), batch.column(1).take(rows)],
+                ["tile", "doc_id", "n"])
+
+    return sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "prefix").mapInArrow(
+        shared, "tile long, doc_id long, n long")
+
+
+def set_arrays(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """doc_id and the sorted shingle hashes, as bytes, of the texts in pairs (and a few others)."""
+    bits = docs.sparkSession.sparkContext.broadcast(id_bits(
+        pairs.select(F.explode(F.array("a", "b")).alias("id"))))
+
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
+            batch = batch.filter(pa.array(among(seen, hashed_ids(batch.column(0)), 1 << 24)))
             for first, hashes, sizes in shingle_sets(batch.column(1), n):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
                 yield pa.RecordBatch.from_arrays(
@@ -130,8 +158,10 @@ def set_arrays(docs: DataFrame, n: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(arrays, "doc_id long, shingles binary")
 
 
-def linked(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough, by sorted-array intersection."""
+    pairs = written(pairs, "pairs")
+    arrays = set_arrays(docs, pairs, n).dropDuplicates(["doc_id"])
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -149,12 +179,12 @@ def linked(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
         checked, "a long, b long")
 
 
-def compatible(percent: int) -> F.Column:
+def close(percent: int) -> F.Column:
     """Bound on the overlap of rows l and r: sizes, and bits that differ."""
     apart = sum((F.bit_count(F.expr(f"l.bits[{i}] ^ r.bits[{i}]")) for i in range(WORDS)), F.lit(0))
     total = F.col("l.n") + F.col("r.n")
     # twice the overlap is at most total - apart, and must be 2 t / (1 + t) of total
-    return (F.col("l.n") * 100 >= F.col("r.n") * percent) & (
+    return (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent) & (
         (total - apart) * (100 + percent) >= total * 2 * percent)
 
 
@@ -165,32 +195,30 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     sets = written(signed_sets(docs, n, percent, order), "sets")
     same = (sets.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
             .agg(F.min("doc_id").alias("head")))
-    reps = (sets.where("n_shingles > 0").join(same, ["set_a", "set_b"]).where("doc_id = head")
-            .select("doc_id", F.col("n_shingles").alias("n"), "prefix", "bits"))
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    postings = reps.select(F.explode("prefix").alias("tile"), "doc_id", "n", band.alias("band"))
-    shared = postings.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    tiles = written(postings.join(shared, "tile").withColumn(
+    found = written(postings(sets).join(same.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
+                    .distinct().withColumn("band", band), "postings")
+    # a group's source shares more of its prefix than copies with edits of their own
+    degree = Window.partitionBy("doc_id")
+    shared = found.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    tiles = written(found.join(shared, "tile").withColumn(
         "part", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("rows") / tile_rows)).cast("int"))
-        .dropDuplicates(["tile", "doc_id"]), "tiles")
+        .withColumn("degree", F.count(F.lit(1)).over(degree)), "tiles")
 
     by_size = Window.partitionBy("tile", "part").orderBy("n", "doc_id")
-    in_part = Window.partitionBy("tile", "part", "band").orderBy("n", "doc_id")
-    tried = tiles.select("doc_id", "n", F.lag(F.struct("n", "doc_id")).over(by_size).alias("p"),
-                         F.first(F.struct("n", "doc_id")).over(in_part).alias("q"))
+    in_part = Window.partitionBy("tile", "part")
+    hub = F.max_by(F.struct("n", "doc_id"), F.struct(F.col("degree"), -F.col("doc_id"))).over(in_part)
+    tried = tiles.select("doc_id", "n", F.lag(F.struct("n", "doc_id")).over(by_size).alias("p"), hub.alias("q"))
     tried = (tried.select("doc_id", "n", F.explode(F.array("p", "q")).alias("o"))
              .where(F.col("o").isNotNull() & (F.col("o.doc_id") != F.col("doc_id"))
-                    & (F.col("o.n") * 100 >= F.col("n") * percent))
+                    & (F.least("o.n", "n") * 100 >= F.greatest("o.n", "n") * percent))
              .select(F.least("doc_id", "o.doc_id").alias("a"), F.greatest("doc_id", "o.doc_id").alias("b"))
              .distinct())
-    bits = reps.select("doc_id", "n", "bits")
+    bits = sets.where("n_shingles > 0").select("doc_id", F.col("n_shingles").alias("n"), "bits")
     fits = (tried.join(bits.alias("l"), F.col("a") == F.col("l.doc_id"))
             .join(bits.alias("r"), F.col("b") == F.col("r.doc_id"))
-            .where(compatible(percent) | F.expr("l.n > r.n")).select("a", "b"))
-    candidates = tiles.select("doc_id").distinct()
-    arrays = written(set_arrays(docs.join(candidates, "doc_id", "left_semi"), n)
-                     .dropDuplicates(["doc_id"]), "arrays")
-    links = written(linked(fits, arrays, percent), "links")
+            .where(close(percent)).select("a", "b").distinct())
+    links = written(linked(docs, fits, n, percent), "links")
     groups = components(links)
 
     named = (tiles.join(groups, tiles["doc_id"] == groups["id"], "left")
@@ -209,10 +237,10 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
                                 & (F.col("l.component") != F.col("r.component"))
                                 & ((F.col("l.n") < F.col("r.n"))
                                    | ((F.col("l.n") == F.col("r.n")) & (F.col("l.doc_id") < F.col("r.doc_id"))))
-                                & compatible(percent))
+                                & close(percent))
             .select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b"))
             .distinct())
-    late = written(linked(more, arrays, percent), "links")
+    late = written(linked(docs, more, n, percent), "links")
     groups = components(links.unionByName(late))
     heads = (same.join(groups, same["head"] == groups["id"], "left")
              .select("set_a", "set_b", F.coalesce("component", "head").alias("component_id")))

@@ -24,17 +24,20 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, lists, text_chunks, word_hashes
 from tastegrid.llm.tables import keyed, written
-from tastegrid.llm.windows import anchored_runs, maybe_repeated, sketch
+from tastegrid.llm.windows import among, anchored_runs, cut_by_spans, sketch
 
 CELLS = 1 << 26
-RUNS = "_id long, _key long, gram long, whole long, start int, wins array<long>, own array<boolean>"
+EDGE_CELLS = 1 << 25
+RUNS = "_id long, _key long, gram long, whole long, start int, n int, own array<int>"
+WINDOWS = "_id long, _key long, gram long, whole long, start int, wins array<long>"
 CUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
-def word_runs(keyed_docs: DataFrame, window: int, gram: int, bits, cells: int) -> DataFrame:
-    """Runs whose anchor may repeat, with their windows' hashes.
+def word_runs(rows: DataFrame, window: int, gram: int, bits, cells: int, with_windows: bool) -> DataFrame:
+    """Runs whose anchor is in the sketch ``bits``.
 
-    ``own`` marks windows that start earlier in the same text already.
+    They come with the hash of each window, or else with the places ``own`` of
+    windows that start earlier in the same text already.
     """
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
@@ -42,59 +45,66 @@ def word_runs(keyed_docs: DataFrame, window: int, gram: int, bits, cells: int) -
             for first, _, raw, offsets in text_chunks(batch.column(2)):
                 words, bounds = word_hashes(raw, offsets)
                 r = anchored_runs(words, bounds, window, gram)
-                if not len(r.text):
-                    continue
-                keep = maybe_repeated(seen, r.gram, cells)
+                keep = among(seen, r.gram, cells)
                 if not keep.any():
                     continue
                 a, b, t = r.first[keep], r.last[keep], r.text[keep]
                 count = b - a + 1
                 at = np.repeat(a - np.cumsum(count) + count, count) + np.arange(count.sum())
                 hashes = Slices(words, 1).hashed(at, at + window)
-                order = np.lexsort((at, hashes, np.repeat(t, count)))
-                again = np.zeros(len(at), bool)
+                texts = pa.array(first + t)
+                cols = [batch.column(0).take(texts), batch.column(1).take(texts),
+                        pa.array(r.gram[keep].view(np.int64)), pa.array(r.whole[keep].view(np.int64)),
+                        pa.array((a - bounds[t]).astype(np.int32))]
+                if with_windows:
+                    yield pa.RecordBatch.from_arrays(
+                        [*cols, lists(hashes.view(np.int64), count, pa.int64())],
+                        ["_id", "_key", "gram", "whole", "start", "wins"])
+                    continue
+                of = np.repeat(np.arange(len(t)), count)
+                order = np.lexsort((at, hashes, t[of]))
                 same = ((hashes[order][1:] == hashes[order][:-1])
-                        & (np.repeat(t, count)[order][1:] == np.repeat(t, count)[order][:-1]))
-                again[order[1:]] = same
-                rows = pa.array(first + t)
+                        & (t[of[order[1:]]] == t[of[order[:-1]]]))
+                again = np.sort(order[1:][same])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows),
-                     pa.array(r.gram[keep].view(np.int64)), pa.array(r.whole[keep].view(np.int64)),
-                     pa.array((a - bounds[t]).astype(np.int32)),
-                     lists(hashes.view(np.int64), count, pa.int64()), lists(again, count, pa.bool_())],
-                    ["_id", "_key", "gram", "whole", "start", "wins", "own"])
+                    [*cols, pa.array(count.astype(np.int32)),
+                     lists((at[again] - a[of[again]]).astype(np.int32),
+                           np.bincount(of[again], minlength=len(t)), pa.int32())],
+                    ["_id", "_key", "gram", "whole", "start", "n", "own"])
 
-    return keyed_docs.select("_id", "_key", "text").mapInArrow(runs, RUNS)
+    return rows.select("_id", "_key", "text").mapInArrow(runs, WINDOWS if with_windows else RUNS)
 
 
 def repeated_windows(docs: DataFrame, window: int = 20, gram: int = 6, cells: int = CELLS) -> DataFrame:
     """(_id, _key, start, size) word spans of the windows that also start earlier."""
     rows = keyed(docs)
+    context = docs.sparkSession.sparkContext
 
     def anchors(column: pa.Array) -> Iterator[np.ndarray]:
         for _, _, raw, offsets in text_chunks(column):
             words, bounds = word_hashes(raw, offsets)
             yield anchored_runs(words, bounds, window, gram).gram
 
-    bits = docs.sparkSession.sparkContext.broadcast(sketch(rows, anchors, cells))
-    runs = written(word_runs(rows, window, gram, bits, cells), "runs")
-    earliest = runs.groupBy("gram", "whole").agg(F.min("_id").alias("_first"))
-    edges = earliest.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("_edge"))
-    known = runs.select("_id", "_key", "gram", "whole", "start", F.size("wins").alias("n")).join(
-        earliest, ["gram", "whole"])
-    whole = known.where("_id > _first").select(
-        "_id", "_key", "start", (F.col("n") + window - 1).alias("size"))
-    own = (runs.where(F.exists("own", lambda x: x))
-           .select("_id", "_key", F.posexplode(F.arrays_zip("own")).alias("i", "w"), "start")
-           .where("w.own").select("_id", "_key", (F.col("start") + F.col("i")).alias("start"),
-                                  F.lit(window).alias("size")))
-    single = (runs.join(edges.where("_edge"), "gram", "left_semi")
+    bits = context.broadcast(sketch(rows.select("text"), anchors, cells))
+    runs = written(word_runs(rows, window, gram, bits, cells, False), "runs")
+    earliest = written(runs.groupBy("gram", "whole").agg(F.min("_id").alias("_first")), "earliest")
+    whole = (runs.select("_id", "_key", "gram", "whole", "start", "n").join(earliest, ["gram", "whole"])
+             .where("_id > _first")
+             .select("_id", "_key", "start", (F.col("n") + window - 1).alias("size")))
+    own = runs.select("_id", "_key", F.explode("own").alias("at"), "start").select(
+        "_id", "_key", (F.col("start") + F.col("at")).alias("start"), F.lit(window).alias("size"))
+
+    # single windows, only of anchors that stand in different runs
+    edges = earliest.groupBy("gram").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1").select("gram")
+    edge_bits = context.broadcast(sketch(
+        edges, lambda c: iter([c.to_numpy(zero_copy_only=False).view(np.uint64)]), EDGE_CELLS, least=1))
+    single = (word_runs(rows, window, gram, edge_bits, EDGE_CELLS, True)
               .join(earliest.withColumnRenamed("_first", "_id"), ["gram", "whole", "_id"], "left_semi")
-              .select("_id", "_key", "gram", F.posexplode("wins").alias("i", "win"), "start"))
+              .select("_id", "_key", "gram", F.posexplode("wins").alias("at", "win"), "start"))
     first = single.groupBy("gram", "win").agg(F.min("_id").alias("_first"),
                                               F.max("_id").alias("_last")).where("_first < _last")
     edge = (single.join(first, ["gram", "win"]).where("_id > _first")
-            .select("_id", "_key", (F.col("start") + F.col("i")).alias("start"),
+            .select("_id", "_key", (F.col("start") + F.col("at")).alias("start"),
                     F.lit(window).alias("size")))
     return whole.unionByName(own).unionByName(edge)
 
@@ -127,9 +137,4 @@ def removed_windows(docs: DataFrame, window: int = 20, gram: int = 6, cells: int
                 ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     spans = repeated_windows(docs, window, gram, cells)
-    rows = keyed(docs).select("_id", "_key", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    per_text = spans.groupBy("_id", "_key").agg(
-        F.collect_list(F.struct(F.col("start").cast("int").alias("start"),
-                                F.col("size").cast("int").alias("size"))).alias("spans"))
-    return (rows.join(per_text, ["_id", "_key"], "left").select("doc_id", "text", "spans")
-            .mapInArrow(cut, CUT))
+    return cut_by_spans(keyed(docs), spans, cut, CUT)

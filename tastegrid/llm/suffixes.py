@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, lists, text_chunks
 from tastegrid.llm.tables import keyed, written
-from tastegrid.llm.windows import anchored_runs, maybe_repeated, sketch
+from tastegrid.llm.windows import among, anchored_runs, cut_by_spans, sketch
 
 CELLS = 1 << 26
 RUNS = "_id long, _key long, gram long, whole long, start int, lead int, piece binary"
@@ -50,7 +50,7 @@ def byte_runs(rows: DataFrame, length: int, gram: int, bits, cells: int) -> Data
                 r = anchored_runs(raw, offsets, length, gram)
                 if not len(r.text):
                     continue
-                keep = maybe_repeated(seen, r.gram, cells)
+                keep = among(seen, r.gram, cells)
                 if not keep.any():
                     continue
                 a, b, t = r.first[keep], r.last[keep] + length, r.text[keep]
@@ -197,7 +197,7 @@ def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, cells: in
         for _, _, raw, offsets in text_chunks(column):
             yield anchored_runs(raw, offsets, length, gram).gram
 
-    bits = docs.sparkSession.sparkContext.broadcast(sketch(rows, anchors, cells))
+    bits = docs.sparkSession.sparkContext.broadcast(sketch(rows.select("text"), anchors, cells))
     runs = written(byte_runs(rows, length, gram, bits, cells), "runs")
     light = runs.select("_id", "_key", "gram", "whole", "start", F.length("piece").alias("size"))
     content = light.groupBy("gram", "whole").agg(
@@ -253,10 +253,4 @@ def removed_bytes(docs: DataFrame, length: int = 200, gram: int = 64, cells: int
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *also])
 
     spans = repeated_bytes(docs, length, gram, cells, bucket_rows)
-    per_text = spans.groupBy("_id", "_key").agg(
-        F.collect_list(F.struct(F.col("start").cast("int").alias("start"),
-                                F.col("size").cast("int").alias("size"))).alias("spans"))
-    rows = keyed(docs, also=also)
-    return (rows.join(per_text, ["_id", "_key"], "left")
-            .select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans", *also)
-            .mapInArrow(cut, CUT + extra))
+    return cut_by_spans(keyed(docs, also=also), spans, cut, CUT + extra, also)

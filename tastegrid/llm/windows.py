@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, mixed
+from tastegrid.llm.tables import LAST_ID, written
 
 BLOCKS = 64
 ROWS = 2
@@ -85,10 +86,11 @@ def sketch_cells(grams: np.ndarray, cells: int) -> list[np.ndarray]:
             for row, h in enumerate((grams, high))]
 
 
-def sketch(docs: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]], cells: int) -> bytes:
-    """Bits of the cells that all texts' anchors touch at least twice.
+def sketch(values: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]], cells: int,
+           least: int = 2) -> bytes:
+    """Bits of the cells that all hashes together touch at least ``least`` times (1 or 2).
 
-    ``grams`` turns a text column into arrays of anchor hashes, one per anchor.
+    ``grams`` turns the only column of ``values`` into arrays of hashes.
     """
     width = ROWS * cells // BLOCKS
 
@@ -141,11 +143,11 @@ def sketch(docs: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]], c
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
         counts, block = counted(pdf)
-        return pd.DataFrame({"block": [block], "bits": [np.packbits(counts > 1).tobytes()]})
+        return pd.DataFrame({"block": [block], "bits": [np.packbits(counts >= least).tobytes()]})
 
     out = np.zeros(ROWS * cells // 8, np.uint8)
     kind = "block int, task int, cells binary"
-    parts = docs.select("text").mapInArrow(touched, kind)
+    parts = values.mapInArrow(touched, kind)
     for level in (1, 2):
         group = F.expr(f"task div {FAN_IN ** level}").alias("_group")
         parts = parts.groupBy("block", group).applyInPandas(merged, kind)
@@ -156,9 +158,44 @@ def sketch(docs: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]], c
     return out.tobytes()
 
 
-def maybe_repeated(bits: np.ndarray, grams: np.ndarray, cells: int) -> np.ndarray:
-    """Whether the sketch counts each hash at least twice; false is certain."""
+def among(bits: np.ndarray, grams: np.ndarray, cells: int) -> np.ndarray:
+    """Whether the sketch holds each hash; false is certain."""
     out = np.ones(len(grams), bool)
     for cell in sketch_cells(grams, cells):
         out &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
     return out
+
+
+def hashed_ids(column: pa.Array) -> np.ndarray:
+    return mixed(np.asarray(column.fill_null(LAST_ID).cast(pa.int64())).view(np.uint64))
+
+
+def id_bits(ids: DataFrame, cells: int = 1 << 24) -> bytes:
+    """Sketch of the ids in the only column: a filter of fixed size without false negatives."""
+    return sketch(ids, lambda column: iter([hashed_ids(column)]), cells, least=1)
+
+
+def rows_by_id(rows: DataFrame, bits, inside: bool, cells: int = 1 << 24) -> DataFrame:
+    """The rows whose first column may be, or certainly is not, among the sketched ids."""
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(among(seen, hashed_ids(batch.column(0)), cells) == inside))
+
+    return rows.mapInArrow(chosen, rows.schema)
+
+
+def cut_by_spans(rows: DataFrame, spans: DataFrame, cut: Callable, schema: str, also: tuple[str, ...] = ()
+                 ) -> DataFrame:
+    """``cut`` over keyed documents and the array of their spans (start, size) to remove.
+
+    Texts without spans are not shuffled.
+    """
+    kind = F.struct(F.col("start").cast("int").alias("start"), F.col("size").cast("int").alias("size"))
+    per_text = written(spans.groupBy("_id", "_key").agg(F.collect_list(kind).alias("spans")), "spans")
+    bits = rows.sparkSession.sparkContext.broadcast(id_bits(per_text.select("_id")))
+    rows = rows.select("_id", "_key", F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    whole = rows_by_id(rows, bits, False).withColumn("spans", F.lit(None).cast(per_text.schema["spans"].dataType))
+    parts = rows_by_id(rows, bits, True).join(per_text, ["_id", "_key"], "left")
+    return (whole.select("doc_id", "text", "spans", *also).mapInArrow(cut, schema)
+            .unionByName(parts.select("doc_id", "text", "spans", *also).mapInArrow(cut, schema)))
