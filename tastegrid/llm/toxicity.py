@@ -120,10 +120,12 @@ class Matcher:
         near = [w for w in lexicon.words if len(w) >= FUZZY_LENGTH and lexicon.words[w] >= FUZZY_WEIGHT]
         self.near = Trie(near)
         # one edit leaves the first or the second half of a term as it is
-        self.heads = {w[:len(w) // 2] for w in near}
-        self.tails = {w[(len(w) + 1) // 2:] for w in near}
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
+        around = [(w, len(w) + d) for w in near for d in (-1, 0, 1)]
+        self.heads = {(w[:len(w) // 2], size) for w, size in around}
+        self.tails = {(w[(len(w) + 1) // 2:], size) for w, size in around}
+        self.cuts = {size: (sorted({len(h) for h, n in self.heads if n == size}),
+                            sorted({len(t) for t, n in self.tails if n == size})) for _, size in around}
+        self.begins = {stem[:min(STEM_LENGTHS)] for stem in lexicon.stems}
         self.kinds = Memo(self.kind, MEMO_WORDS)
 
     def kind(self, word: str) -> tuple[str, float]:
@@ -131,14 +133,23 @@ class Matcher:
         lexicon = self.lexicon
         if word in lexicon.words:
             return "word", lexicon.words[word]
-        stem = self.stems.prefix(word)
-        if stem:
-            return "stem", lexicon.stems[stem]
-        if len(word) < FUZZY_LENGTH - 1 or word in lexicon.clean:
-            return NONE
-        if (any(word[:n] in self.heads for n in self.head_sizes)
-                or any(word[-n:] in self.tails for n in self.tail_sizes)) and self.near.within(word):
-            return "near", lexicon.near
+        if word[:min(STEM_LENGTHS)] in self.begins:
+            stem = self.stems.prefix(word)
+            if stem:
+                return "stem", lexicon.stems[stem]
+        size = len(word)
+        heads, tails = self.cuts.get(size, ((), ()))
+        for n in heads:
+            if (word[:n], size) in self.heads:
+                return self.nearly(word)
+        for n in tails:
+            if (word[size - n:], size) in self.tails:
+                return self.nearly(word)
+        return NONE
+
+    def nearly(self, word: str) -> tuple[str, float]:
+        if word not in self.lexicon.clean and self.near.within(word):
+            return "near", self.lexicon.near
         return NONE
 
     def matches(self, text: str) -> list[tuple[str, str, float, bool]]:
