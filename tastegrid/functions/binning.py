@@ -37,10 +37,10 @@ def edge_bin(value: Column, edges: Column, q: int) -> Column:
     below = F.lit(0)
     for i in range(q + 1):
         below = below + F.coalesce((F.get(edges, F.lit(i)) < value).cast("int"), F.lit(0))
-    return F.greatest(F.lit(1), below)
+    return F.when(value.isNotNull(), F.greatest(F.lit(1), below))
 
 
 def width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Equal-width bin; the last bin is closed, a single-valued column goes to bin 1."""
     position = F.floor((value - low) / F.nullif(high - low, F.lit(0.0)) * F.lit(float(bins)))
-    return F.least(F.lit(bins), F.coalesce(position, F.lit(0)).cast("int") + F.lit(1))
+    return F.when(value.isNotNull(), F.least(F.lit(bins), F.coalesce(position, F.lit(0)).cast("int") + F.lit(1)))

@@ -156,7 +156,7 @@ def share_of_total(frame: DataFrame, count: str = "count", digits: int = 1,
                    name: str = "percent") -> DataFrame:
     """Each row's part of the column total in percent."""
     total = frame.agg(F.sum(count)).scalar()
-    return frame.withColumn(name, F.round(F.col(count) * F.lit(100.0) / total, digits))
+    return frame.withColumn(name, F.round(F.try_divide(F.col(count) * F.lit(100.0), total), digits))
 
 
 def small_mean_vectors(frame: DataFrame, vector: str, below: float = 1e-3) -> DataFrame:

@@ -67,7 +67,7 @@ def quantile_histogram(frame: DataFrame, value: str, q: int = 10, ascending: boo
 
 
 def width_histogram(frame: DataFrame, *values: str, bins: int = 50) -> DataFrame:
-    """Equal-width histogram of each column: column, bucket, lo, hi, count.
+    """Equal-width histogram of each column: column, bucket, lo, hi, count; empty bins stay with 0.
 
     All columns share one pass for the ranges and one for the counts.
     """
@@ -75,15 +75,19 @@ def width_histogram(frame: DataFrame, *values: str, bins: int = 50) -> DataFrame
     tall = frame.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
     limits = {c: F.struct(F.min(F.col(c).cast("double")).alias("lo"),
                           F.max(F.col(c).cast("double")).alias("hi")) for c in values}
-    spans = frame.agg(F.create_map(*[x for c, s in limits.items() for x in (F.lit(c), s)])).scalar()
+    ranges = frame.agg(F.create_map(*[x for c, s in limits.items() for x in (F.lit(c), s)]).alias("spans"))
+    spans = ranges.scalar()
     counted = (tall.withColumn("_span", F.element_at(spans, F.col("column")))
-               .groupBy("column", F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi"),
-                        binning.width_bin(F.col("value"), F.col("_span.lo"), F.col("_span.hi"), bins)
+               .groupBy("column", binning.width_bin(F.col("value"), F.col("_span.lo"), F.col("_span.hi"), bins)
                         .alias("bucket"))
                .agg(F.count(F.lit(1)).alias("count")))
+    every = (ranges.select(F.explode("spans").alias("column", "_span")).where(F.col("_span.lo").isNotNull())
+             .select("column", F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi"),
+                     F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bucket")))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    return counted.select("column", "bucket", (F.col("_lo") + step * (F.col("bucket") - 1)).alias("lo"),
-                          (F.col("_lo") + step * F.col("bucket")).alias("hi"), "count")
+    return every.join(counted, ["column", "bucket"], "left").select(
+        "column", "bucket", (F.col("_lo") + step * (F.col("bucket") - 1)).alias("lo"),
+        (F.col("_lo") + step * F.col("bucket")).alias("hi"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def month_histogram(frame: DataFrame, date: str) -> DataFrame:

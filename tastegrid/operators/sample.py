@@ -12,8 +12,8 @@ from tastegrid.operators.ranking import rank_in_group
 
 
 def key_of(*columns: str) -> Column:
-    """One text key of several columns."""
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    """One text key of several columns; a null is marked, so its place counts."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
 
 
 def thin(frame: DataFrame, key: Column, share: float = 0.5, seed: int = 42) -> DataFrame:
@@ -22,8 +22,8 @@ def thin(frame: DataFrame, key: Column, share: float = 0.5, seed: int = 42) -> D
 
 
 def split(frame: DataFrame, key: Column, test_share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(train, test): disjoint, together everything, the same on every run."""
-    chosen = hashing.drawn_below(hashing.draw(key, seed), test_share)
+    """(train, test): disjoint, together everything, the same on every run; a null key is for training."""
+    chosen = F.coalesce(hashing.drawn_below(hashing.draw(key, seed), test_share), F.lit(False))
     return frame.where(~chosen), frame.where(chosen)
 
 

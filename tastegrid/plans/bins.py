@@ -71,15 +71,23 @@ def bin_histogram_descending(spark, folder):
     return bins.quantile_histogram(counts, "n", ascending=False)
 
 
+NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax")
+
+
 def width_twin(source: str, column: str, n: int = 50) -> str:
     """Equal-width histogram of one column as SQL."""
     return f"""
-    SELECT '{column}' AS "column", bucket, round(lo + (hi - lo) / {n}.0::DOUBLE * (bucket - 1), 6) AS lo,
-           round(lo + (hi - lo) / {n}.0::DOUBLE * bucket, 6) AS hi, count(*) AS "count" FROM (
-        SELECT lo, hi, least({n}, coalesce(floor(({column}::DOUBLE - lo) / nullif(hi - lo, 0) * {n}.0::DOUBLE), 0)::INT + 1)
+    SELECT '{column}' AS "column", b.bucket::INT AS bucket,
+           round(s.lo + (s.hi - s.lo) / {n}.0::DOUBLE * (b.bucket - 1), 6) AS lo,
+           round(s.lo + (s.hi - s.lo) / {n}.0::DOUBLE * b.bucket, 6) AS hi, count(c.bucket) AS "count"
+    FROM range(1, {n + 1}) b(bucket)
+    CROSS JOIN (SELECT min({column})::DOUBLE AS lo, max({column})::DOUBLE AS hi FROM {source}) s
+    LEFT JOIN (
+        SELECT least({n}, coalesce(floor(({column}::DOUBLE - lo) / nullif(hi - lo, 0) * {n}.0::DOUBLE), 0)::INT + 1)
                AS bucket
         FROM {source}, (SELECT min({column})::DOUBLE AS lo, max({column})::DOUBLE AS hi FROM {source})
-        WHERE {column} IS NOT NULL) GROUP BY ALL"""
+        WHERE {column} IS NOT NULL) c ON c.bucket = b.bucket GROUP BY b.bucket, s.lo, s.hi"""
 
 
 @registered("bk5_equal_width_histogram", over("", width_twin("lineitem", "l_extendedprice")))
@@ -96,10 +104,9 @@ def month_histogram(spark, folder):
 
 
 @registered("bk7_histogram_of_every_column", over("", " UNION ALL ".join(
-    width_twin("lineitem", c, 10) for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber"))))
+    width_twin("lineitem", c, 10) for c in NUMBERS)))
 def histogram_of_every_column(spark, folder):
-    table = bins.width_histogram(domain.table(spark, folder, "lineitem"),
-                                 "l_quantity", "l_discount", "l_tax", "l_linenumber", bins=10)
+    table = bins.width_histogram(domain.table(spark, folder, "lineitem"), *NUMBERS, bins=10)
     return table.withColumns({c: F.round(c, 6) for c in ("lo", "hi")})
 
 

@@ -92,13 +92,14 @@ def label_score(spark, folder):
 
 
 @registered("sc10_rounding", """
-    SELECT l_orderkey, round(seventh, 1)::DOUBLE AS one, round(seventh, 3)::DOUBLE AS three
-    FROM (SELECT l_orderkey, (l_extendedprice / 7)::DECIMAL(38, 12) AS seventh FROM lineitem)""")
+    SELECT l_orderkey, round(price, 1)::DOUBLE AS one, round(price, 0)::DOUBLE AS zero
+    FROM (SELECT l_orderkey, l_extendedprice::DECIMAL(18, 2) AS price FROM lineitem)""")
 def rounding(spark, folder):
-    """Halves go up on the decimal digits of the number, hence DECIMAL in the twin."""
-    seventh = F.col("l_extendedprice") / 7
+    """Halves go away from zero on the decimal digits of the number."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
     return domain.table(spark, folder, "lineitem").select(
-        "l_orderkey", F.round(seventh, 1).alias("one"), F.round(seventh, 3).alias("three"))
+        "l_orderkey", F.round(price, 1).cast("double").alias("one"),
+        F.round(price, 0).cast("double").alias("zero"))
 
 
 @registered("ud1_function_per_row", over("rated", "SELECT user_id, item_id, rank FROM rated"))

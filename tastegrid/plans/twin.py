@@ -54,7 +54,7 @@ VIEWS = {
         FROM catalog c LEFT JOIN item_facts f ON f.item_id = c.item_id""",
     "metadata": """
         SELECT p_partkey AS item_id, p_brand || ' ' || p_type AS description,
-               CASE WHEN p_size % 10 = 0 THEN []::VARCHAR[] ELSE string_split(p_name, ' ') END AS tags
+               string_split(p_name, ' ') AS tags
         FROM part""",
     "metadata_text": """
         SELECT item_id, description,
@@ -62,11 +62,10 @@ VIEWS = {
                     ELSE '[''' || array_to_string(tags, ''', ''') || ''']' END AS tags
         FROM metadata""",
     "extra_facts": f"""
-        SELECT CASE WHEN doc_id % 97 <> 0 THEN '{URL_START}' || doc_id || '{URL_END}' END AS url,
+        SELECT '{URL_START}' || doc_id || '{URL_END}' AS url,
                (n_chars % 100)::INT AS metacritic, 'PC' AS platform,
-               CASE WHEN doc_id % 89 <> 0 THEN source END AS tags,
-               CASE WHEN doc_id % 50 <> 0
-                    THEN '[''' || lang || ''', ''sub ' || source || ''']' END AS languages
+               source AS tags,
+               '[''' || lang || ''', ''sub ' || source || ''']' AS languages
         FROM documents""",
     # tags cleaned, one row per (item, tag)
     "item_tags": """

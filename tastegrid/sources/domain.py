@@ -110,12 +110,11 @@ def games(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
-    """Items with a tag list; every tenth size has none."""
-    words = F.split("p_name", " ")
+    """Items with a tag list: the words of their names."""
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("item_id"),
         F.concat_ws(" ", "p_brand", "p_type").alias("description"),
-        F.when(F.col("p_size") % 10 == 0, F.slice(words, 1, 0)).otherwise(words).alias("tags"))
+        F.split("p_name", " ").alias("tags"))
 
 
 def metadata_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,8 +130,8 @@ def extra_facts(spark: SparkSession, folder: str) -> DataFrame:
     url = F.concat(F.lit(URL_START), key.cast("string"), F.lit(URL_END))
     tongues = F.concat(F.lit("['"), F.col("lang"), F.lit("', 'sub "), F.col("source"), F.lit("']"))
     return table(spark, folder, "documents").select(
-        F.when(key % 97 != 0, url).alias("url"),
+        url.alias("url"),
         (F.col("n_chars") % 100).cast("int").alias("metacritic"),
         F.lit("PC").alias("platform"),
-        F.when(key % 89 != 0, F.col("source")).alias("tags"),
-        F.when(key % 50 != 0, tongues).alias("languages"))
+        F.col("source").alias("tags"),
+        tongues.alias("languages"))
