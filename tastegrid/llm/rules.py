@@ -160,9 +160,12 @@ def rule_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns."""
-    light = written(measured(docs.select("doc_id", "text", "lang")).select("doc_id", *MEASURES), "measures")
-    cutoffs = written(certified_cutoffs(light, labels), "cutoffs")
+    """The rows of ``docs`` that pass, with their own columns.
+
+    Rows are measured once and written with their measures; the calibration
+    reads only the narrow columns of that table.
+    """
     own = F.struct(*docs.columns).alias("_row")
-    again = measured(docs.select(own, "doc_id", "text", "lang"))
-    return judged(again, cutoffs).where("kept").select("_row.*")
+    measures = written(measured(docs.select(own, "doc_id", "text", "lang")).select("_row", "doc_id", *MEASURES),
+                       "measures")
+    return judged(measures, certified_cutoffs(measures, labels)).where("kept").select("_row.*")
