@@ -31,7 +31,7 @@ from tastegrid.llm.tables import slots, written
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 # How this tokenizer family parts a word.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 _ENCODERS: dict[str, WordIds] = {}
 
 
