@@ -13,8 +13,11 @@
    of a group at a cost in proportion to its size.
 4. Then only sets of a tile that are in different components are compared.  Each
    carries a bitmap of hashed shingles: bits that differ bound the overlap from
-   above.  Pairs within the bound are checked by exact sorted-array intersection.
-   Any link between components passes this step, so components are exact.
+   above.  Bitmaps of fixed width say little of long texts, so sets of more
+   shingles than bits have a second one of a bit or more per shingle, compared
+   once per pair.  Pairs within the bounds are checked by exact sorted-array
+   intersection.  Any link between components passes this step, so components are
+   exact.
 
 Documents without words have an empty set, and are linked with nothing.  Null
 text is empty; a null doc_id gives a null id and takes no part in links.
@@ -89,10 +92,23 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
     return np.frombuffer(zlib.decompress(rows[0]["counts"]), np.uint32) if rows else np.zeros(cells, np.uint32)
 
 
+def wide_bitmaps(codes: np.ndarray, heads: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Bitmaps of a power of two bits, as many as shingles or more; empty where the narrow one does."""
+    parts, words = [], np.zeros(len(heads), np.int64)
+    for i in np.flatnonzero(ends - heads > WORDS * 64):
+        width = 1 << int(ends[i] - heads[i] - 1).bit_length()
+        bitmap = np.zeros(width, np.uint8)
+        bitmap[(codes[heads[i]:ends[i]] % np.uint64(width)).astype(np.int64)] = 1
+        parts.append(np.packbits(bitmap).view(np.int64))
+        words[i] = width // 64
+    return lists(np.concatenate(parts) if parts else np.zeros(0, np.int64), words, pa.int64())
+
+
 def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set, prefix shingles and bitmap of every text."""
+    """doc_id, n_shingles, two hashes of the set, prefix shingles and bitmaps of every text."""
     shift = np.uint64(64 - SKETCH_BITS)
-    kind = "doc_id long, n_shingles long, set_a long, set_b long, prefix array<long>, bits array<long>"
+    kind = ("doc_id long, n_shingles long, set_a long, set_b long, prefix array<long>, bits array<long>, "
+            "wide array<long>")
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.frombuffer(order.value, np.uint32)
@@ -101,20 +117,21 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                 text = np.repeat(np.arange(len(sizes)), sizes)
                 ends = np.cumsum(sizes)
                 heads = ends - sizes
-                slices = Slices(hashes), Slices(mixed(hashes), 1)
+                codes = mixed(hashes)
+                slices = Slices(hashes), Slices(codes, 1)
                 rank = np.lexsort((hashes, counts[(hashes >> shift).astype(np.int64)], text))
                 keep = np.where(sizes > 0, sizes - (sizes * percent + 99) // 100 + 1, 0)
                 place = np.arange(len(hashes)) - np.repeat(heads, sizes)
                 prefix = hashes[rank][place < np.repeat(keep, sizes)]
                 bitmap = np.zeros(len(sizes) * WORDS * 64, np.uint8)
-                bitmap[text * (WORDS * 64) + (mixed(hashes) % np.uint64(WORDS * 64)).astype(np.int64)] = 1
+                bitmap[text * (WORDS * 64) + (codes % np.uint64(WORDS * 64)).astype(np.int64)] = 1
                 bits = np.packbits(bitmap).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64()),
                      *(pa.array(s.hashed(heads, ends).view(np.int64)) for s in slices),
                      lists(prefix.view(np.int64), keep, pa.int64()),
-                     lists(bits, np.full(len(sizes), WORDS), pa.int64())],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "prefix", "bits"])
+                     lists(bits, np.full(len(sizes), WORDS), pa.int64()), wide_bitmaps(codes, heads, ends)],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "prefix", "bits", "wide"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(signed, kind)
 
@@ -188,6 +205,25 @@ def close(percent: int) -> F.Column:
         (total - apart) * (100 + percent) >= total * 2 * percent)
 
 
+def close_when_wide(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that wide bitmaps, where both sides have them, don't rule out."""
+    wide = (sets.where(F.size("wide") > 0).select("doc_id", F.col("n_shingles").alias("n"), "wide")
+            .dropDuplicates(["doc_id"]))
+    rows = (pairs.join(wide.select(F.col("doc_id").alias("a"), F.col("n").alias("nx"), F.col("wide").alias("x")),
+                       "a", "left")
+            .join(wide.select(F.col("doc_id").alias("b"), F.col("n").alias("ny"), F.col("wide").alias("y")),
+                  "b", "left"))
+    # a bitmap folded in half is the bitmap of half the bits
+    for one, other in (("x", "y"), ("y", "x")):
+        rows = rows.withColumn(one, F.expr(
+            f"if(size({one}) = 2 * size({other}), zip_with(slice({one}, 1, size({other})), "
+            f"slice({one}, size({other}) + 1, size({other})), (p, q) -> p | q), {one})"))
+    apart = F.expr("aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)")
+    total = F.col("nx") + F.col("ny")
+    within = (total - apart) * (100 + percent) >= total * 2 * percent
+    return rows.where((F.size("x") != F.size("y")) | F.coalesce(within, F.lit(True))).select("a", "b")
+
+
 def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id of every document; links have similarity ``percent`` or more."""
     spark = docs.sparkSession
@@ -218,7 +254,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     fits = (tried.join(bits.alias("l"), F.col("a") == F.col("l.doc_id"))
             .join(bits.alias("r"), F.col("b") == F.col("r.doc_id"))
             .where(close(percent)).select("a", "b").distinct())
-    links = written(linked(docs, fits, n, percent), "links")
+    links = written(linked(docs, close_when_wide(fits, sets, percent), n, percent), "links")
     groups = components(links)
 
     named = (tiles.join(groups, tiles["doc_id"] == groups["id"], "left")
@@ -240,7 +276,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
                                 & close(percent))
             .select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b"))
             .distinct())
-    late = written(linked(docs, more, n, percent), "links")
+    late = written(linked(docs, close_when_wide(more, sets, percent), n, percent), "links")
     groups = components(links.unionByName(late))
     heads = (same.join(groups, same["head"] == groups["id"], "left")
              .select("set_a", "set_b", F.coalesce("component", "head").alias("component_id")))

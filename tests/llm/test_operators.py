@@ -72,6 +72,22 @@ def test_jaccard(docs, none):
     assert jaccard.jaccard_groups(none).count() == 0
 
 
+def test_wide_bitmaps(spark):
+    """Long texts of unlike sizes: close ones link, and the bound rules no link out."""
+    long_texts = [(1, numbered(0, 4100)), (2, numbered(0, 4000) + " " + numbered(9000, 9100)),
+                  (3, numbered(0, 3000) + " " + numbered(20000, 21000)), (4, numbered(30000, 34200)),
+                  (5, numbered(0, 3900)), (6, numbered(30000, 34050)), (7, numbered(30100, 34050) + " x")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 2, "k") for i, t in long_texts], SCHEMA)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_groups(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 4, 7: 4}
+    order = spark.sparkContext.broadcast(jaccard.frequencies(docs, 4).tobytes())
+    sets = jaccard.signed_sets(docs, 4, 85, order)
+    assert {r["doc_id"]: len(r["wide"]) for r in sets.collect()} == {1: 128, 2: 128, 3: 64, 4: 128, 5: 64, 6: 64, 7: 64}
+    pairs = spark.createDataFrame([(1, 5), (2, 5), (1, 3), (1, 4), (3, 6), (4, 7), (1, 99)], "a long, b long")
+    kept = {tuple(r) for r in jaccard.close_when_wide(pairs, sets, 85).select("a", "b").collect()}
+    assert kept >= {(1, 5), (2, 5), (4, 7), (1, 99)} and not kept & {(1, 4), (3, 6)}
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 60), (60, 50), (7, 7)], "a long, b long")
     got = {r["id"]: r["component"] for r in components.components(chain).collect()}
