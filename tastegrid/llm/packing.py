@@ -32,7 +32,6 @@ PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 # How this tokenizer family parts a word.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MEMO_WORDS = 100_000
-_ENCODERS: dict[str, WordIds] = {}
 
 
 class WordIds:
@@ -76,18 +75,11 @@ class WordIds:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-def word_ids(path: str) -> WordIds:
-    """The encoder of a file, read once per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # what is remembered has no cycles
-        encode = word_ids(tokenizer_path)
+        encode = WordIds(tokenizer_path)  # ends with the task, as idle workers keep what they hold
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
@@ -101,6 +93,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) ->
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(),
                                                        pa.int64()), strict=True)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        del encode
+        gc.enable()
+        gc.collect()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
 
