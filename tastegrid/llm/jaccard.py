@@ -260,14 +260,18 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     named = (tiles.join(groups, tiles["doc_id"] == groups["id"], "left")
              .select("tile", tiles["doc_id"], "n", "band", "part", "rows",
                      F.coalesce("component", tiles["doc_id"]).alias("component")))
-    mixed_tiles = (named.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .where("lo < hi").select("tile"))
-    open_rows = named.join(mixed_tiles, "tile", "left_semi").join(bits.select("doc_id", "bits"), "doc_id")
-    # linked sets are in the same or the next band; parts of a split tile meet pairwise
-    low = open_rows.select("*", F.explode(F.array("band", F.col("band") + 1)).alias("meet"))
+    # linked sets are in the same or the next band: those that meet in a band with one component are done
+    in_band = named.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    next_too = F.explode(F.array("band", F.col("band") + 1)).alias("meet")
+    open_bands = (in_band.select("*", next_too).groupBy("tile", "meet")
+                  .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("band").alias("top"))
+                  .where("lo < hi and top = meet").select("tile", "meet"))
+    open_rows = (named.select("*", next_too).join(open_bands, ["tile", "meet"], "left_semi")
+                 .join(bits.select("doc_id", "bits"), "doc_id"))
+    # parts of a split tile meet pairwise
     pairs = F.expr("sequence(0, cast(ceil(rows / {0}) as int) - 1)".format(tile_rows))
-    low = low.select("*", F.explode(pairs).alias("other"))
-    high = open_rows.withColumn("meet", F.col("band")).withColumn("other", F.col("part"))
+    low = open_rows.select("*", F.explode(pairs).alias("other"))
+    high = open_rows.where("band = meet").withColumn("other", F.col("part"))
     more = (low.alias("l").join(high.alias("r"), (F.col("l.tile") == F.col("r.tile"))
                                 & (F.col("l.meet") == F.col("r.meet")) & (F.col("l.other") == F.col("r.other"))
                                 & (F.col("l.component") != F.col("r.component"))
