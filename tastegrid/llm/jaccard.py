@@ -136,8 +136,13 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(signed, kind)
 
 
-def postings(sets: DataFrame) -> DataFrame:
-    """tile, doc_id, n of the prefix shingles that may occur in two sets or more."""
+def postings(sets: DataFrame, percent: int) -> DataFrame:
+    """tile, doc_id, n, short of the prefix shingles that may occur in two sets or more.
+
+    ``short``: the shingle is among the first ``n - ceil(2 t n / (1 + t)) + 1``.
+    That is prefix enough for the smaller set of a linked pair, whose sets share
+    2 t / (1 + t) of the smaller size at least.
+    """
     bits = sets.sparkSession.sparkContext.broadcast(sketch(
         sets.select("prefix"), lambda c: iter([np.asarray(c.flatten()).view(np.uint64)]), TILE_CELLS))
 
@@ -145,15 +150,19 @@ def postings(sets: DataFrame) -> DataFrame:
         seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             values = np.asarray(batch.column(2).flatten())
-            row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(batch.column(2))))
+            count = np.asarray(pc.list_value_length(batch.column(2)))
+            row = np.repeat(np.arange(batch.num_rows), count)
+            size = np.asarray(batch.column(1))
+            first = size - (2 * percent * size + 99 + percent) // (100 + percent) + 1
+            place = np.arange(len(values)) - np.repeat(np.cumsum(count) - count, count)
             keep = among(seen, values.view(np.uint64), TILE_CELLS)
             rows = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[keep]), batch.column(0).take(rows), batch.column(1).take(rows)],
-                ["tile", "doc_id", "n"])
+                [pa.array(values[keep]), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array((place < first[row])[keep])], ["tile", "doc_id", "n", "short"])
 
     return sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "prefix").mapInArrow(
-        shared, "tile long, doc_id long, n long")
+        shared, "tile long, doc_id long, n long, short boolean")
 
 
 def set_arrays(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
@@ -232,7 +241,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     same = (sets.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
             .agg(F.min("doc_id").alias("head")))
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    found = written(postings(sets).join(same.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
+    found = written(postings(sets, percent).join(same.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
                     .distinct().withColumn("band", band), "postings")
     # a group's source shares more of its prefix than copies with edits of their own
     degree = Window.partitionBy("doc_id")
@@ -258,7 +267,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     groups = components(links)
 
     named = (tiles.join(groups, tiles["doc_id"] == groups["id"], "left")
-             .select("tile", tiles["doc_id"], "n", "band", "part", "rows",
+             .select("tile", tiles["doc_id"], "n", "short", "band", "part", "rows",
                      F.coalesce("component", tiles["doc_id"]).alias("component")))
     # linked sets are in the same or the next band: those that meet in a band with one component are done
     in_band = named.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -268,9 +277,9 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
                   .where("lo < hi and top = meet").select("tile", "meet"))
     open_rows = (named.select("*", next_too).join(open_bands, ["tile", "meet"], "left_semi")
                  .join(bits.select("doc_id", "bits"), "doc_id"))
-    # parts of a split tile meet pairwise
+    # parts of a split tile meet pairwise; the smaller set of a pair needs its short prefix only
     pairs = F.expr("sequence(0, cast(ceil(rows / {0}) as int) - 1)".format(tile_rows))
-    low = open_rows.select("*", F.explode(pairs).alias("other"))
+    low = open_rows.where("short").select("*", F.explode(pairs).alias("other"))
     high = open_rows.where("band = meet").withColumn("other", F.col("part"))
     more = (low.alias("l").join(high.alias("r"), (F.col("l.tile") == F.col("r.tile"))
                                 & (F.col("l.meet") == F.col("r.meet")) & (F.col("l.other") == F.col("r.other"))
