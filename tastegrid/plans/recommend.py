@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tastegrid.functions.ratings import clip_rating
-from tastegrid.operators import metrics, neighbours, recommend, sample
+from tastegrid.operators import factors, metrics, neighbours, recommend, sample
 from tastegrid.plans.registry import registered
 from tastegrid.plans.sampling import pair_hash
 from tastegrid.plans.twin import over, unit
@@ -172,3 +172,26 @@ def top_unseen(spark, folder):
 def batch_recommend(spark, folder):
     train, _ = nation_likes(spark, folder)
     return recommend.top_unseen(nation_ranking(train), train, train, "nation", "user_id", "item_id")
+
+
+BIAS_SQL = f"""SELECT item_id, sum(rating - (SELECT avg(rating) FROM train)) / (count(*) + {factors.ITEM_DAMP}::DOUBLE) AS b_i
+    FROM train GROUP BY ALL"""
+
+
+@registered("rc6_biases", over("ratings", f"""
+    SELECT user_id, round(sum(rating - (SELECT avg(rating) FROM train) - b_i) / (count(*) + {factors.USER_DAMP}::DOUBLE), 9) AS b_u
+    FROM train JOIN item_bias USING (item_id) GROUP BY user_id""", **SIDES, item_bias=BIAS_SQL))
+def user_biases(spark, folder):
+    _, _, users = factors.biases(sides(spark, folder)[0])
+    return users.select("user_id", F.round("b_u", 9).alias("b_u"))
+
+
+# factors start from random numbers, so the two predictions have no SQL twin
+@registered("rc6_biased_factors", None)
+def biased_factors(spark, folder):
+    return rounded(factors.biased_predictions(*sides(spark, folder)))
+
+
+@registered("rc8_nonnegative_factors", None)
+def nonnegative_factors(spark, folder):
+    return rounded(factors.nonnegative_predictions(*sides(spark, folder)))
