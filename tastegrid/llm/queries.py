@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegrid.llm import byte_bpe, fingerprints, jaccard, packing, quality, rules, sharding, substrings, suffixes, toxicity
-from tastegrid.llm.tables import documents, labels
+from tastegrid.llm import (alignment, byte_bpe, fingerprints, jaccard, packing, personal, quality, rules, sharding,
+                           structure, substrings, suffixes, toxicity)
+from tastegrid.llm.tables import conversations, documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +76,19 @@ def op9_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_bytes(documents(spark, sf_dir)).drop("kept")
+
+
+@registered
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"),
+                                       tokenizer_file("piece_bpe_32k.model"))
+
+
+@registered
+def op12_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_spans(documents(spark, sf_dir))
+
+
+@registered
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.conversation_repairs(structure.damaged(conversations(spark, sf_dir)))

@@ -18,6 +18,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, safe when executors are lost."""
     path = scratch_path(df.sparkSession, name)
@@ -54,4 +58,4 @@ def slots(df: DataFrame, group: str, spread: Column, order: list[Column], name:
             .drop("_slice", "_rank", "_before"))
 
 
-__all__ = ["LAST_ID", "checkpoint_root", "documents", "keyed", "labels", "slots", "written"]
+__all__ = ["LAST_ID", "checkpoint_root", "conversations", "documents", "keyed", "labels", "slots", "written"]
