@@ -7,6 +7,8 @@ many rows on both sides is cut into square blocks of pairs, each of at most
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +34,16 @@ def in_blocks(left: DataFrame, right: DataFrame, key: str, left_id: str, right_i
     return dealt(left, "l", "r", left_id).join(dealt(right, "r", "l", right_id), [key, "_bl", "_br"]).drop("_bl", "_br")
 
 
-def _closed_form(kind: str) -> Column:
-    n, x, y = F.col("n"), F.col("sx"), F.col("sy")
+def closed_form(kind: str, sums: Mapping[str, Column]) -> Column:
+    """A similarity from the sums over common keys."""
+    n, x, y = sums["n"], sums["sx"], sums["sy"]
     if kind == "msd":
-        return F.lit(1.0) / (F.col("sd") / n + 1.0)
+        return F.lit(1.0) / (sums["sd"] / n + 1.0)
     if kind == "cosine":
-        return F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy")))
+        return F.try_divide(sums["sxy"], F.sqrt(sums["sxx"]) * F.sqrt(sums["syy"]))
     if kind == "pearson":
-        spread = (n * F.col("sxx") - x * x) * (n * F.col("syy") - y * y)
-        return F.when(n >= 2, F.try_divide(n * F.col("sxy") - x * y, F.sqrt(spread)))
+        spread = (n * sums["sxx"] - x * x) * (n * sums["syy"] - y * y)
+        return F.when(n >= 2, F.try_divide(n * sums["sxy"] - x * y, F.sqrt(spread)))
     raise ValueError(f"unknown similarity {kind}")
 
 
@@ -58,7 +61,7 @@ def similarities(ratings: DataFrame, asked: DataFrame, of: str, over: str, kind:
     sums = (in_blocks(left, right, over, "a", "b").where("a <> b").groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"),
         F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd")))
-    return sums.where(F.col("n") >= min_common).select("a", "b", _closed_form(kind).alias("sim"), "n")
+    return sums.where(F.col("n") >= min_common).select("a", "b", closed_form(kind, {c: F.col(c) for c in sums.columns}).alias("sim"), "n")
 
 
 def knn_predictions(train: DataFrame, asked: DataFrame, k: int = 40, kind: str = "msd", user_based: bool = True,
