@@ -8,5 +8,5 @@ __all__ = ["ORACLES", "QUERIES", "registered", "load"]
 def load() -> None:
     """Import every module that registers queries."""
     from tastegrid.plans import (aggregates, analyses, bins, cleaning, encoding,  # noqa: F401
-                                 evaluation, hybrid, joining, ordering, recommend, sampling, similar,
+                                 evaluation, forest, hybrid, joining, ordering, recommend, sampling, similar,
                                  scalars, scans)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tastegrid.functions.ratings import clip_rating
-from tastegrid.operators import factors, metrics, neighbours, recommend, sample
+from tastegrid.operators import factors, implicit_factors, metrics, neighbours, recommend, sample
 from tastegrid.plans.registry import registered
 from tastegrid.plans.sampling import pair_hash
 from tastegrid.plans.twin import over, unit
@@ -195,3 +195,11 @@ def biased_factors(spark, folder):
 @registered("rc8_nonnegative_factors", None)
 def nonnegative_factors(spark, folder):
     return rounded(factors.nonnegative_predictions(*sides(spark, folder)))
+
+
+IMPLICIT = implicit_factors.Settings(no_components=8, epochs=8, learning_rate=0.05)
+
+
+@registered("rc7_implicit_factors", None)
+def implicit_predictions(spark, folder):
+    return rounded(implicit_factors.implicit_predictions(*sides(spark, folder), IMPLICIT))
