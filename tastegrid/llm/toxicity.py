@@ -185,9 +185,18 @@ def quotes(left: str, right: str) -> bool:
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
-    """term, stem, toxic and all: documents of the sample with each word and word beginning."""
-    words = F.array_distinct(F.expr(r"regexp_extract_all(lower(text), '\\w+', 0)"))
-    one = sample.select("y", F.explode(words).alias("word"), "doc_id")
+    """term, stem, toxic and all: documents of the sample with each word and word beginning.
+
+    Words are found as the matcher finds them.
+    """
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [sorted(set(WORDS.findall(t.lower()))) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.list_(pa.string()))],
+                                             ["doc_id", "y", "words"])
+
+    one = (sample.select("doc_id", "y", "text").mapInArrow(words, "doc_id long, y int, words array<string>")
+           .select("y", F.explode("words").alias("word"), "doc_id"))
     whole = one.select("doc_id", "y", F.col("word").alias("term"), F.lit(False).alias("stem"))
     begins = F.explode(F.array(*(F.when(F.length("word") >= n, F.substring("word", 1, n))
                                  for n in STEM_LENGTHS)))

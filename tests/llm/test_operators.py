@@ -273,3 +273,15 @@ def test_levenshtein_automaton():
     for word, found in [("moron", True), ("mroon", False), ("morn", True), ("moronx", True), ("xmoron", True),
                         ("maron", True), ("idiots", True), ("id", False), ("", False), ("mooron", True)]:
         assert (trie.within(word) is not None) is found, word
+
+
+def test_toxic_words_with_accents(spark):
+    """Terms are learned from the words that scoring looks for, accents and marks included."""
+    bad, good = "Débile ça répugnant naïf", "été çà l'île où très"
+    rows = [(i, f"{bad if i % 2 else good} mot{i} fin") for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "fr", "s", 1, 2, "k") for i, t in rows], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learned(docs, labels)
+    assert {"débile", "répugnant"} <= set(lexicon.words) and not any(w in lexicon.words for w in ("bile", "pugnant"))
+    got = toxicity.toxicity_scores(docs, labels).where("held_out").collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got) and len(got) > 40
