@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.operators.ranking import exact_quantiles
+
 
 def count_per(frame: DataFrame, *keys: str, name: str = "count") -> DataFrame:
     """Rows per key; keys that are NULL are no group."""
@@ -20,9 +22,22 @@ def frequency(frame: DataFrame, key: str, name: str = "count") -> DataFrame:
 
 def distinct_count(frame: DataFrame, *columns: str, approximate: float | None = None) -> DataFrame:
     """Distinct values per column in one row; ``approximate`` is the allowed relative error."""
-    def one(c: str) -> Column:
-        return F.count_distinct(c) if approximate is None else F.approx_count_distinct(c, approximate)
-    return frame.agg(*[one(c).alias(c) for c in columns])
+    if approximate is None:
+        return distinct_sizes(frame, *columns).drop("rows")
+    return frame.agg(*[F.approx_count_distinct(c, approximate).alias(c) for c in columns])
+
+
+def distinct_sizes(frame: DataFrame, *columns: str) -> DataFrame:
+    """One row: ``rows``, and for each column how many different values it has, NULL left out.
+
+    Rows are combined per combination of values first; only what is left is told
+    apart by column.  ``frame`` is planned once.
+    """
+    combined = frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    sides = [F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(columns)]
+    values = combined.select("_n", F.inline(F.array(*sides))).groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
+    return values.agg(F.coalesce(F.sum(F.when(F.col("_c") == 0, F.col("_n"))), F.lit(0)).alias("rows"), *[
+        F.count_if((F.col("_c") == i) & F.col("_v").isNotNull()).alias(c) for i, c in enumerate(columns)])
 
 
 def distinct_values(frame: DataFrame, column: str) -> DataFrame:
@@ -88,16 +103,9 @@ def share_of_values(frame: DataFrame, column: str, values: Sequence[object],
 
 
 def density(frame: DataFrame, user: str, item: str) -> DataFrame:
-    """Rows over users times items.
-
-    Users and items are counted apart: two plain distinct counts combine before
-    the shuffle, where one query with both would send every row three times.
-    """
-    users = frame.select(user).distinct().agg(F.count(user)).scalar()
-    items = frame.select(item).distinct().agg(F.count(item)).scalar()
+    """Rows over users times items, with one pass over ``frame``."""
     filled = F.try_divide(F.col("rows").cast("double"), F.col("users").cast("double") * F.col("items"))
-    return (frame.agg(F.count(F.lit(1)).alias("rows"))
-            .withColumns({"users": users, "items": items})
+    return (distinct_sizes(frame, user, item).select("rows", F.col(user).alias("users"), F.col(item).alias("items"))
             .withColumns({"density": filled, "sparsity": F.lit(1.0) - filled}))
 
 
@@ -120,17 +128,17 @@ def correlation(frame: DataFrame, x: str, y: str, name: str = "correlation") ->
 def describe(frame: DataFrame, *columns: str) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum, a row per column.
 
-    Rows are counted per value first, so the exact quartiles are taken over
-    distinct values and not over every row on one reducer.
+    Rows are counted per value first, and the exact quartiles are found by rank,
+    so no reducer holds all values of a column.
     """
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     counted = (frame.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    quartiles = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    quartiles = exact_quantiles(counted, (0.25, 0.5, 0.75), "column").withColumnRenamed("quantiles", "_q")
     total, mean = F.sum("n"), F.sum(F.col("value") * F.col("n")) / F.sum("n")
     spread = counted.groupBy("column").agg(
         total.alias("count"), mean.alias("mean"), F.min("value").alias("min"),
-        quartiles.alias("_q"), F.max("value").alias("max"))
+        F.max("value").alias("max")).join(quartiles, "column")
     squares = (counted.join(spread.select("column", "mean"), "column")
                .groupBy("column")
                .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0))).alias("_ss")))

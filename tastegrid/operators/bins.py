@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.functions import binning
+from tastegrid.operators.ranking import exact_quantiles
 
 
 def cut_histogram(frame: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str],
@@ -39,8 +40,8 @@ def value_frequency(frame: DataFrame, value: str) -> DataFrame:
 
 def quantile_edges(freq: DataFrame, q: int = 10) -> DataFrame:
     """One row: the distinct interpolated quantiles of a frequency table, rising."""
-    steps = F.array(*[F.lit(i / q) for i in range(q + 1)])
-    return freq.agg(F.array_distinct(F.percentile("value", steps, F.col("n"))).alias("edges"))
+    found = exact_quantiles(freq, [i / q for i in range(q + 1)])
+    return found.select(F.array_distinct("quantiles").alias("edges"))
 
 
 def quantile_bins(frame: DataFrame, value: str, q: int = 10, name: str = "bucket") -> DataFrame:
@@ -91,9 +92,12 @@ def width_histogram(frame: DataFrame, *values: str, bins: int = 50) -> DataFrame
 
 
 def month_histogram(frame: DataFrame, date: str) -> DataFrame:
-    """Rows per calendar month."""
-    return (frame.where(F.col(date).isNotNull()).groupBy(F.month(date).alias("month"))
-            .agg(F.count(F.lit(1)).alias("count")).orderBy("month"))
+    """Rows per calendar month, months without rows included."""
+    counted = (frame.where(F.col(date).isNotNull()).groupBy(F.month(date).alias("month"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    months = frame.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("month"))
+    return (months.join(counted, "month", "left").select("month", F.coalesce("_n", F.lit(0)).alias("count"))
+            .orderBy("month"))
 
 
 def scatter_grid(frame: DataFrame, x: str, y: str, x_step: float, y_step: float) -> DataFrame:

@@ -71,14 +71,13 @@ def melt(frame: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 def present_features(features: DataFrame, key: str) -> DataFrame:
     """Feature list of each item: names with a value over 0 plus the item itself.
 
-    Weights sum to 1 per item; the size of the value is dropped.
+    Weights sum to 1 per item; the size of the value is dropped.  An item's list is
+    bounded by the feature names, and ``features`` is planned once.
     """
-    named = features.where(F.col("value") > 0).select(key, "feature")
-    own = features.select(key).distinct().select(
-        key, F.concat(F.lit("id:"), F.col(key).cast("string")).alias("feature"))
-    rows = named.unionByName(own)
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return rows.join(sizes, key).select(key, "feature", (F.lit(1.0) / F.col("_n")).alias("weight"))
+    listed = features.groupBy(key).agg(F.collect_list(F.when(F.col("value") > 0, F.col("feature"))).alias("_f"))
+    own = F.array(F.concat(F.lit("id:"), F.col(key).cast("string")))
+    return (listed.withColumn("_f", F.concat("_f", own))
+            .select(key, F.explode("_f").alias("feature"), (F.lit(1.0) / F.size("_f")).alias("weight")))
 
 
 def id_map(frame: DataFrame, column: str, digits: int = 3) -> DataFrame:

@@ -2,7 +2,9 @@
 
 No join here carries a broadcast hint.  Spark broadcasts a side only when its
 size is known to be under ``spark.sql.autoBroadcastJoinThreshold``; beyond it
-the join shuffles and adaptive execution splits skewed keys.
+the join shuffles.  Adaptive execution splits hot keys of either side of an inner
+join, and of the left side of a left join; ``left_join_events`` is for a left join
+whose right side is hot.
 """
 
 from __future__ import annotations
@@ -20,6 +22,16 @@ def left_join(left: DataFrame, *others: DataFrame, on: str | Sequence[str]) -> D
     return left
 
 
+def left_join_events(left: DataFrame, events: DataFrame, on: str) -> DataFrame:
+    """Left join with many events per key: an inner join, which splits hot keys, and the keys without events."""
+    rest = [c for c in events.columns if c != on]
+    matched = left.join(events, on)
+    alone = left.join(events.select(on).distinct(), on, "left_anti")
+    kinds = dict(events.dtypes)
+    empty = alone.select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in rest])
+    return matched.unionByName(empty)
+
+
 def inner_join(left: DataFrame, *others: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner joins one after the other."""
     for other in others:

@@ -29,15 +29,28 @@ def ranking(scores: DataFrame, group: str, item: str, score: str, bucket: Column
     """(group, item, rank, n) of a score table, best first, ties by item.
 
     ``bucket`` must not fall along that order; it spreads a large group over
-    tasks.  By default it is the whole part of the score.
+    tasks.  By default it comes from rows drawn by hash: each drawn (score, item)
+    is a cut, so fractional scores and long runs of one score are spread as well.
     """
     known = scores.where(F.col(group).isNotNull() & F.col(item).isNotNull() & F.col(score).isNotNull())
-    placed = rank_in_group(known, [group], -F.floor(score) if bucket is None else bucket,
+    placed = rank_in_group(known, [group], score_cuts(known, item, score) if bucket is None else bucket,
                            [F.desc(score), F.asc(item)])
     sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     return placed.join(sizes, group).select(group, item, "rank", "n")
 
 
+def score_cuts(scores: DataFrame, item: str, score: str, cuts: int = 64) -> Column:
+    """Which of at most ``cuts`` stretches of the order (score falling, item rising) a row lies in."""
+    drawn = (scores.select(item, score).distinct().orderBy(F.xxhash64(item, score), item, score).limit(cuts * 16).collect())
+    ordered = sorted(drawn, key=lambda r: r[0])
+    ordered.sort(key=lambda r: -r[1])
+    edges = ordered[16::16]
+    kinds = dict(scores.dtypes)
+    lists = [F.array(*[F.lit(e[i]) for e in edges]).cast(f"array<{kinds[c]}>") for i, c in enumerate((item, score))]
+    passed = F.zip_with(lists[0], lists[1], lambda i, s: (s > F.col(score)) | ((s == F.col(score)) & (i < F.col(item))))
+    return F.size(F.filter(passed, lambda p: p))
+
+
 def ranks_of(ranked: DataFrame, test: DataFrame, group: str, user: str, item: str,
                seen: DataFrame | None = None) -> DataFrame:
     """(user, item, rank, n) of every test pair; rank and n are null where the item has no score.

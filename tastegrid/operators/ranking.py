@@ -47,6 +47,43 @@ def rank_in_group(frame: DataFrame, group: Sequence[str], bucket: Column, order:
             .drop("_bucket", "_local", "_before"))
 
 
+def size_class(value: Column) -> Column:
+    """A whole number that rises with the value: its sign and the logarithm of its size, 64 classes to a factor of e."""
+    number = value.cast("double")
+    grade = F.floor(F.log(F.greatest(F.abs(number), F.lit(1e-300))) * 64) + 44300
+    return (F.signum(number) * grade).cast("long")
+
+
+def exact_quantiles(freq: DataFrame, shares: Sequence[float], group: str | None = None) -> DataFrame:
+    """(group, quantiles): interpolated quantiles of a table (group, value, n), without all values in one task.
+
+    Values are summed up within classes of like size; the class totals place each
+    value's ranks, and a quantile is what holds the rank below and the rank above.
+    """
+    keys = [] if group is None else [group]
+    marked = freq.withColumn("_class", size_class(F.col("value")))
+    totals = marked.groupBy(*keys, "_class").agg(F.sum("n").alias("_n"))
+    of_group = W.partitionBy(*keys)
+    before = of_group.orderBy("_class").rowsBetween(W.unboundedPreceding, W.currentRow)
+    offsets = totals.select(*keys, "_class", (F.sum("_n").over(before) - F.col("_n")).alias("_before"),
+                            F.sum("_n").over(of_group).alias("_all"))
+    upto = F.sum("n").over(W.partitionBy(*keys, "_class").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    placed = (marked.withColumn("_end", upto).join(offsets, [*keys, "_class"])
+              .select(*keys, "value", "_all", (F.col("_before") + F.col("_end") - F.col("n")).alias("_from"),
+                      (F.col("_before") + F.col("_end")).alias("_to")))
+    place = lambda p: F.lit(float(p)) * (F.col("_all") - 1)
+    holds = lambda rank: (F.col("_from") <= rank) & (rank < F.col("_to"))
+    asked = [F.struct(F.lit(i).alias("i"), place(p).alias("at"), holds(F.floor(place(p))).alias("low"),
+                      holds(F.ceil(place(p))).alias("high")) for i, p in enumerate(shares)]
+    hits = placed.select(*keys, "value", F.inline(F.array(*asked))).where("low or high")
+    ends = hits.groupBy(*keys, "i").agg(F.max("at").alias("at"), F.max(F.when(F.col("low"), F.col("value"))).alias("a"),
+                                        F.max(F.when(F.col("high"), F.col("value"))).alias("b"))
+    between = (F.ceil("at") - F.col("at")) * F.col("a") + (F.col("at") - F.floor("at")) * F.col("b")
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(between)
+    listed = F.sort_array(F.collect_list(F.struct("i", value.alias("v"))))
+    return ends.groupBy(*keys).agg(listed.alias("_q")).select(*keys, F.col("_q.v").alias("quantiles"))
+
+
 def best_by(frame: DataFrame, metric: str, *ties: str) -> DataFrame:
     """The one row with the highest metric."""
     return frame.orderBy(F.desc(metric), *[F.asc(t) for t in ties]).limit(1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tastegrid.functions import binning
-from tastegrid.operators import aggregate, bins, joins, ranking
+from tastegrid.operators import aggregate, bins, joins, ranking, stored
 from tastegrid.plans.aggregates import BAND_SQL
 from tastegrid.plans.bins import PRICE_SQL, edges_twin, quantile_twin, width_twin
 from tastegrid.plans.encoding import DATED, FEATURES_OVER, FEATURES_SQL, SCALED_SQL, item_features
@@ -137,16 +137,29 @@ _FEATURED = """SELECT user_id, item_id FROM interactions WHERE is_recommended
     featured=_FEATURED, active="""SELECT * FROM featured WHERE user_id IN (
         SELECT user_id FROM featured GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 500)"""))
 def density_by_stage(spark, folder):
+    """Rows are combined per pair once; every stage is a part of that table."""
     from tastegrid.plans.joining import languages
-    every = domain.interactions(spark, folder)
-    featured = joins.keep_matching(every.where("is_recommended"), languages(spark, folder), "item_id")
-    active = joins.keep_most_active(featured, "user_id", 500)
-    out = None
-    for stage, frame in (("all", every), ("featured", featured), ("active", active)):
-        one = aggregate.density(frame.select("user_id", "item_id"), "user_id", "item_id").select(
-            F.lit(stage).alias("stage"), "rows", "users", "items", F.round("density", 9).alias("density"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    spoken = languages(spark, folder).select("item_id").distinct().withColumn("_known", F.lit(1))
+    pairs = stored.written(
+        domain.interactions(spark, folder).groupBy("user_id", "item_id")
+        .agg(F.count(F.lit(1)).alias("all"), F.count_if("is_recommended").alias("liked"))
+        .join(spoken, "item_id", "left")
+        .select("user_id", "item_id", "all", (F.col("liked") * F.coalesce("_known", F.lit(0))).alias("featured")), "pairs")
+    busiest = (pairs.where("featured > 0").groupBy("user_id").agg(F.sum("featured").alias("n"))
+               .orderBy(F.desc("n"), F.asc("user_id")).limit(500).select("user_id", F.lit(1).alias("_busy")))
+    staged = pairs.join(busiest, "user_id", "left").select("user_id", "item_id", F.inline(F.array(
+        F.struct(F.lit("all").alias("stage"), F.col("all").alias("n")),
+        F.struct(F.lit("featured").alias("stage"), F.col("featured").alias("n")),
+        F.struct(F.lit("active").alias("stage"), (F.col("featured") * F.coalesce("_busy", F.lit(0))).alias("n"))))).where("n > 0")
+    sides = staged.select("stage", "n", F.inline(F.array(
+        F.struct(F.lit(True).alias("is_user"), F.col("user_id").alias("id")),
+        F.struct(F.lit(False).alias("is_user"), F.col("item_id").alias("id")))))
+    values = sides.groupBy("stage", "is_user", "id").agg(F.sum("n").alias("n"))
+    found = values.groupBy("stage").agg(F.sum(F.when(F.col("is_user"), F.col("n"))).alias("rows"),
+                                        F.count_if("is_user").alias("users"), F.count_if(~F.col("is_user")).alias("items"))
+    filled = F.try_divide(F.col("rows").cast("double"), F.col("users").cast("double") * F.col("items"))
+    return found.withColumn("density", F.round(filled, 9))
+
 
 
 @registered("q14_share_of_negative_ratings", over("rated", """

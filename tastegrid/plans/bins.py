@@ -97,8 +97,8 @@ def equal_width_histogram(spark, folder):
 
 
 @registered("bk6_month_histogram", """
-    SELECT month(o_orderdate)::INT AS month, count(*) AS "count" FROM orders
-    WHERE o_orderdate IS NOT NULL GROUP BY 1""")
+    SELECT m::INT AS month, count(o_orderkey) AS "count" FROM range(1, 13) r(m)
+    LEFT JOIN orders ON month(o_orderdate) = m GROUP BY m""")
 def month_histogram(spark, folder):
     return bins.month_histogram(domain.table(spark, folder, "orders"), "o_orderdate")
 

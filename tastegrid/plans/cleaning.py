@@ -90,10 +90,10 @@ def drop_nulls(spark, folder):
 
 
 @registered("flt3_drop_nulls_anywhere", over("extra_facts", """
-    SELECT url, tags, languages FROM extra_facts
-    WHERE url IS NOT NULL AND tags IS NOT NULL AND languages IS NOT NULL"""))
+    SELECT * FROM extra_facts WHERE url IS NOT NULL AND metacritic IS NOT NULL AND platform IS NOT NULL
+    AND tags IS NOT NULL AND languages IS NOT NULL"""))
 def drop_nulls_anywhere(spark, folder):
-    return clean.drop_nulls(domain.extra_facts(spark, folder).select("url", "tags", "languages"))
+    return clean.drop_nulls(domain.extra_facts(spark, folder))
 
 
 @registered("flt4_drop_empty_lists", over("metadata", """
@@ -120,17 +120,18 @@ def fill_nulls(spark, folder):
 
 
 @registered("flt6_null_mask", over("extra_facts", """
-    SELECT url, tags IS NOT NULL AS tags, languages IS NOT NULL AS languages
+    SELECT url, metacritic IS NOT NULL AS metacritic, platform IS NOT NULL AS platform, tags IS NOT NULL AS tags,
+           languages IS NOT NULL AS languages
     FROM extra_facts WHERE url IS NOT NULL"""))
 def null_mask(spark, folder):
-    frame = domain.extra_facts(spark, folder).where("url IS NOT NULL").select("url", "tags", "languages")
+    frame = domain.extra_facts(spark, folder).where("url IS NOT NULL")
     return clean.null_mask(frame, keep=["url"])
 
 
 @registered("flt6_null_profile", over("extra_facts", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS nulls,
         round((count(*) FILTER ({c} IS NULL))::DOUBLE / count(*), 6) AS share FROM extra_facts"""
-    for c in ("url", "tags", "languages"))))
+    for c in ("url", "metacritic", "platform", "tags", "languages"))))
 def null_profile(spark, folder):
-    profile = clean.null_profile(domain.extra_facts(spark, folder).select("url", "tags", "languages"))
+    profile = clean.null_profile(domain.extra_facts(spark, folder))
     return profile.withColumn("share", F.round("share", 6))

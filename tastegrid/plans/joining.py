@@ -48,7 +48,7 @@ def left_joins(spark, folder):
     FROM catalog c LEFT JOIN reviews r ON r.item_id = c.item_id"""))
 def left_join_reviews(spark, folder):
     found = domain.reviews(spark, folder).select("item_id", "hours", "is_recommended")
-    return joins.left_join(domain.catalog(spark, folder).select("item_id", "price_final"), found, on="item_id")
+    return joins.left_join_events(domain.catalog(spark, folder).select("item_id", "price_final"), found, "item_id")
 
 
 @registered("jn3_three_way_inner_join", over("catalog item_tags item_languages", """

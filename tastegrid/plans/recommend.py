@@ -203,3 +203,15 @@ IMPLICIT = implicit_factors.Settings(no_components=8, epochs=8, learning_rate=0.
 @registered("rc7_implicit_factors", None)
 def implicit_predictions(spark, folder):
     return rounded(implicit_factors.implicit_predictions(*sides(spark, folder), IMPLICIT))
+
+
+@registered("rc6_baseline_predictions", over("ratings", f"""
+    SELECT t.user_id, t.item_id, t.rating, round({CLIPPED.format("""(SELECT avg(rating) FROM train)
+        + coalesce(b_u, 0.0::DOUBLE) + coalesce(b_i, 0.0::DOUBLE)""")}, 6) AS prediction
+    FROM test t LEFT JOIN item_bias USING (item_id) LEFT JOIN user_bias USING (user_id)""", **SIDES, item_bias=BIAS_SQL,
+    user_bias=f"""SELECT user_id, sum(rating - (SELECT avg(rating) FROM train) - b_i) / (count(*) + {factors.USER_DAMP}::DOUBLE) AS b_u
+        FROM train JOIN item_bias USING (item_id) GROUP BY user_id"""))
+def baseline_predictions(spark, folder):
+    train, test = sides(spark, folder)
+    return rounded(factors.with_baseline(test, factors.biases(train)).select(
+        "user_id", "item_id", "rating", clip_rating(F.col("baseline")).alias("prediction")))

@@ -95,14 +95,15 @@ def interaction_triples(spark, folder):
                         F.col("item_id").cast("string").alias("item_id"), F.lit(1.0).alias("weight"))
 
 
-_INFO = {"item_id": "bigint", "title": "string", "win": "boolean", "price_final": "double",
-         "date_release": "date", "positive_ratio": "int", "rating": "string"}
+_INFO = {"item_id": "bigint", "title": "string", "win": "boolean", "mac": "boolean", "linux": "boolean",
+         "price_final": "double", "price_original": "double", "handheld": "boolean", "date_release": "date",
+         "positive_ratio": "int", "user_reviews": "bigint", "rating": "string"}
 
 
 @registered("src8_column_info", over("games", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null FROM games" for c, t in _INFO.items())))
 def column_info(spark, folder):
-    return files.column_info(domain.games(spark, folder).select(*_INFO))
+    return files.column_info(domain.games(spark, folder))
 
 
 @registered("src8_preview", over("games", """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,8 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(app: str = "tastegrid", cores: int | str = "*",
                   shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -33,6 +37,26 @@ def local_session(app: str = "tastegrid", cores: int | str = "*",
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in Python workers are sent by name, so the workers must be
+    able to import the package wherever the driver was started.  The package goes
+    as an archive through the cluster's own file distribution; nothing is needed
+    where it is installed on all machines.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tastegrid-ship-")) / "tastegrid-package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, f"{home.name}/{file.relative_to(home)}")
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder reliable checkpoints and scratch tables go to.
 

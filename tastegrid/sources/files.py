@@ -10,16 +10,35 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tastegrid.operators.clean import nan_to_null
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
-    """CSV with a header; NaN becomes NULL, a field that does not parse becomes NULL."""
-    frame = (spark.read.schema(schema).option("header", True).option("sep", sep)
-             .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    return nan_to_null(frame)
+def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+             quoted_newlines: bool = False) -> DataFrame:
+    """CSV with a header; NaN becomes NULL, a field that does not parse becomes NULL.
+
+    With ``quoted_newlines`` a quoted field may hold line ends; a file is then read
+    by one task, so keep such files small.  A header that differs from the schema
+    is an error.
+    """
+    return nan_to_null(_csv(spark, path, schema, sep, quoted_newlines))
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType, sep: str, quoted_newlines: bool) -> DataFrame:
+    return (spark.read.schema(schema).option("header", True).option("sep", sep).option("multiLine", quoted_newlines)
+            .option("enforceSchema", False).option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+
+
+def unreadable_records(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+                       quoted_newlines: bool = False) -> int:
+    """How many records of a CSV hold a field that does not parse, or too many or too few fields."""
+    wide = StructType([*schema.fields, StructField("_record", StringType())])
+    frame = (spark.read.schema(wide).option("header", True).option("sep", sep).option("multiLine", quoted_newlines)
+             .option("escape", '"').option("columnNameOfCorruptRecord", "_record").csv(path))
+    # all fields are counted, so all are parsed
+    return frame.agg(F.count("_record"), *[F.count(F.col(f"`{c}`")) for c in schema.names]).first()[0]
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
