@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 import zipfile
@@ -41,19 +42,23 @@ def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application.
 
     Functions that run in Python workers are sent by name, so the workers must be
-    able to import the package wherever the driver was started.  The package goes
-    as an archive through the cluster's own file distribution; nothing is needed
-    where it is installed on all machines.
+    able to import the package wherever the driver was started.  An archive of it
+    is put into the shared folder, from where Spark hands it to the executors.
     """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
     home = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="tastegrid-ship-")) / "tastegrid-package.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
         for file in sorted(home.rglob("*.py")):
             out.write(file, f"{home.name}/{file.relative_to(home)}")
-    context.addPyFile(str(archive))
+    path = f"{scratch_path(spark, 'package')}/tastegrid-package.zip"
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(context._jsc.hadoopConfiguration()).create(where)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
 
 
