@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+SMALL_CHUNK = 1 << 18  # for work that holds many arrays per byte
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.arrays import Slices, lists, text_chunks
+from tastegrid.llm.arrays import SMALL_CHUNK, Slices, lists, text_chunks
 from tastegrid.llm.tables import keyed, written
 from tastegrid.llm.windows import among, anchored_runs, cut_by_spans, sketch
 
@@ -46,7 +46,7 @@ def byte_runs(rows: DataFrame, length: int, gram: int, bits, cells: int) -> Data
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            for first, _, raw, offsets in text_chunks(batch.column(2)):
+            for first, _, raw, offsets in text_chunks(batch.column(2), SMALL_CHUNK):
                 r = anchored_runs(raw, offsets, length, gram)
                 if not len(r.text):
                     continue
@@ -194,7 +194,7 @@ def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, cells: in
     rows = keyed(docs)
 
     def anchors(column: pa.Array) -> Iterator[np.ndarray]:
-        for _, _, raw, offsets in text_chunks(column):
+        for _, _, raw, offsets in text_chunks(column, SMALL_CHUNK):
             yield anchored_runs(raw, offsets, length, gram).gram
 
     bits = docs.sparkSession.sparkContext.broadcast(sketch(rows.select("text"), anchors, cells))
