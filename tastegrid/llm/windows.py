@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tastegrid.llm.arrays import Slices, mixed
 from tastegrid.llm.tables import LAST_ID, written
 
+PENDING = 1_000_000  # sketch cells a task holds before it packs them
 BLOCKS = 64
 ROWS = 2
 FAN_IN = 64  # sketches of so many tasks merge at once
@@ -101,7 +102,7 @@ def sketch(values: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]],
             for hashes in grams(batch.column(0)):
                 pending += [c.astype(np.uint32) for c in sketch_cells(hashes, cells)]
                 held += 2 * len(hashes)
-                if held > 4_000_000:
+                if held > PENDING:
                     yield flushed(pending)
                     pending, held = [], 0
         if held:
