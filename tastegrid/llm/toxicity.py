@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.memo import Memo
 from tastegrid.llm.samples import FIT_ROWS, fit_sample, held_out
+from tastegrid.llm.tables import written
 
 THRESHOLD = 0.7
 MOST_TERMS = 2000
@@ -224,12 +225,12 @@ def significant_terms(counts: DataFrame, base: float, most: int = MOST_TERMS) ->
 def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 3, fold: int = 1,
             most: int = FIT_ROWS) -> Lexicon:
     """Lexicon of a bounded sample of labelled rows outside the held-out fold."""
-    sample = fit_sample(docs, labels, label, parts, fold, most)
+    sample = written(fit_sample(docs, labels, label, parts, fold, most), "toxicity-sample")  # read several times
     rates = sample.agg(F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     n, toxic = rates["n"] or 0, rates["toxic"] or 0
     if not toxic or toxic == n:
         return Lexicon(base=(toxic + 0.5) / (n + 1) if n else 0.5)
-    terms = significant_terms(term_counts(sample), toxic / n).collect()  # at most MOST_TERMS
+    terms = significant_terms(written(term_counts(sample), "toxicity-terms"), toxic / n).collect()  # at most MOST_TERMS
     weigh = lambda t: (t["toxic"] + 0.5) / (t["docs"] + 1)
     words = {t["term"]: weigh(t) for t in terms if not t["stem"]}
     stems: dict[str, float] = {}
