@@ -20,9 +20,14 @@ last in descending order; repeated rows have fingerprints of their own.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegrid.llm.tables import LAST_ID
+
+RANGES = 4096
 SHORT = 512
 KEEP = 64
 SHIFT = 64
@@ -102,27 +107,51 @@ def likeness(x: Column, y: Column) -> Column:
     return F.when(short, alike(x["chars"], y["chars"])).otherwise(alike(x["words"], y["words"]))
 
 
-def with_next(rows: DataFrame, columns: tuple[str, ...], make) -> DataFrame:
+def ranged(rows: DataFrame, parts: int = RANGES) -> DataFrame:
+    """Add ``_range``: ranges of near equal row counts, larger for larger doc_ids and then for smaller text hashes.
+
+    Cuts are approximate quantiles of the ids, about the root of the number of
+    rows and at most ``parts``.  An id that fills whole ranges by itself, and null,
+    are cut further by the hash of the text.
+    """
+    n, nulls = rows.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull())).first()
+    parts = max(1, min(parts, int(n ** 0.5)))
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5],
+                                        10 * parts)).first()[0] or []
+    hot = {v: c for v, c in Counter(cuts).items() if c > 1}
+    edges = sorted(set(cuts) | {v + 1 for v in hot if v < LAST_ID})
+    edge_list = F.array(*map(F.lit, edges)).cast("array<long>")
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))))  # a binary search
+    place = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(edge_list, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at))
+    split = F.when(F.col("doc_id").isNull(), F.lit(-(-nulls * parts // max(n, 1))))
+    if hot:
+        parts_of = F.create_map(*(F.lit(x).cast("long") for kv in hot.items() for x in kv))
+        split = F.coalesce(split, F.try_element_at(parts_of, F.col("doc_id")))
+    # the upper 31 bits of the hash, from the smallest up
+    upper = F.shiftright(F.xxhash64("text"), 33) + F.lit(1 << 30)
+    inner = F.shiftright(upper * F.coalesce(split, F.lit(1)), 31)
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(place)
+    return rows.withColumn("_range", bucket.cast("long") * (2 * RANGES) - inner)
+
+
+def with_next(rows: DataFrame, columns: tuple[str, ...], make, parts: int = RANGES) -> DataFrame:
     """``make(rows)`` with ``next_*`` columns of the row with the next smaller doc_id.
 
-    After the smallest id comes the largest.  Ids are cut into about the root of
-    their number of ranges; each range is a window of its own, and its last row
-    takes what follows it from a table of the ranges' first rows.
+    After the smallest id comes the largest.  Each range of ids is a window of
+    its own, and its last row takes what follows it from a table of the ranges'
+    first rows, of which there are a few times ``parts`` at most.
     """
-    bounds = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                      F.count(F.lit(1)).alias("n")).first()
-    lo, hi = bounds["lo"] or 0, bounds["hi"] or 0
-    width = max(1, -(-(hi - lo + 1) // max(1, int((bounds["n"] or 0) ** 0.5))))
-    cut = rows.withColumn("_range", F.coalesce(F.expr(f"(doc_id - {lo}L) div {width}L"), F.lit(-1)))
+    cut = ranged(rows, parts)
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     marked = make(cut).withColumn("_next", F.lead(F.struct(*columns)).over(
         Window.partitionBy("_range").orderBy(*order)))
     heads = cut.groupBy("_range").agg(F.max("doc_id").alias("_top"))
     ring = Window.orderBy(F.col("_range").desc())  # one short row per range
-    heads = heads.select("_top", F.lag("_range").over(ring).alias("_before"),
+    heads = heads.select("_range", "_top", F.lag("_range").over(ring).alias("_before"),
                          F.min("_range").over(Window.partitionBy()).alias("_lowest"))
-    heads = heads.select("_top", F.coalesce("_before", "_lowest").alias("_before"))
-    first = cut.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_top")))
+    heads = heads.select("_range", "_top", F.coalesce("_before", "_lowest").alias("_before"))
+    first = cut.join(F.broadcast(heads), "_range").where(F.col("doc_id").eqNullSafe(F.col("_top")))
     first = first.withColumn("_n", F.row_number().over(Window.partitionBy("_before").orderBy(F.xxhash64("text"))))
     after = make(first.where("_n = 1").drop("_n", "_top", "_range")).select(
         F.col("_before").alias("_range"), F.struct(*columns).alias("_head"))
