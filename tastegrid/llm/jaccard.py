@@ -21,7 +21,10 @@
 
 Documents without words have an empty set, and are linked with nothing.  Null
 text is empty; a null doc_id gives a null id and takes no part in links.
-Repeated rows of a doc_id with one text give one row each.
+Repeated rows give one row each; rows that share a doc_id but not a text are
+documents of their own with one id.  Sets are told apart by 64-bit hashes, as
+shingles are: among 10^9 different sets two coincide with a chance of 3 %, and
+would then count as one.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from tastegrid.llm.arrays import Slices, lists, mixed, text_chunks, word_hashes
 from tastegrid.llm.components import components
 from tastegrid.llm.tables import written
-from tastegrid.llm.windows import among, hashed_ids, id_bits, sketch
+from tastegrid.llm.windows import among, hashed_ids, id_bits, rows_by_id, sketch
 
 SKETCH_BITS = 18
 TILE_CELLS = 1 << 25
@@ -105,9 +108,9 @@ def wide_bitmaps(codes: np.ndarray, heads: np.ndarray, ends: np.ndarray) -> pa.A
 
 
 def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the set, prefix shingles and bitmaps of every text."""
+    """doc_id, n_shingles, hash of the set, prefix shingles and bitmaps of every text."""
     shift = np.uint64(64 - SKETCH_BITS)
-    kind = ("doc_id long, n_shingles long, set_a long, set_b long, prefix array<long>, bits array<long>, "
+    kind = ("doc_id long, text_key long, n_shingles long, set_a long, prefix array<long>, bits array<long>, "
             "wide array<long>")
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +121,6 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                 ends = np.cumsum(sizes)
                 heads = ends - sizes
                 codes = mixed(hashes)
-                slices = Slices(hashes), Slices(codes, 1)
                 rank = np.lexsort((hashes, counts[(hashes >> shift).astype(np.int64)], text))
                 keep = np.where(sizes > 0, sizes - (sizes * percent + 99) // 100 + 1, 0)
                 place = np.arange(len(hashes)) - np.repeat(heads, sizes)
@@ -127,17 +129,19 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                 bitmap[text * (WORDS * 64) + (codes % np.uint64(WORDS * 64)).astype(np.int64)] = 1
                 bits = np.packbits(bitmap).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64()),
-                     *(pa.array(s.hashed(heads, ends).view(np.int64)) for s in slices),
+                    [batch.column(0).slice(first, len(sizes)), batch.column(2).slice(first, len(sizes)),
+                     pa.array(sizes, pa.int64()),
+                     pa.array(Slices(hashes).hashed(heads, ends).view(np.int64)),
                      lists(prefix.view(np.int64), keep, pa.int64()),
                      lists(bits, np.full(len(sizes), WORDS), pa.int64()), wide_bitmaps(codes, heads, ends)],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "prefix", "bits", "wide"])
+                    ["doc_id", "text_key", "n_shingles", "set_a", "prefix", "bits", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(signed, kind)
+    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return docs.select(F.col("doc_id").cast("long"), "text", text_key).mapInArrow(signed, kind)
 
 
 def postings(sets: DataFrame, percent: int) -> DataFrame:
-    """tile, doc_id, n, short of the prefix shingles that may occur in two sets or more.
+    """tile, id, n, short of the prefix shingles that may occur in two sets or more.
 
     ``short``: the shingle is among the first ``n - ceil(2 t n / (1 + t)) + 1``.
     That is prefix enough for the smaller set of a linked pair, whose sets share
@@ -159,35 +163,44 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
             rows = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values[keep]), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array((place < first[row])[keep])], ["tile", "doc_id", "n", "short"])
+                 pa.array((place < first[row])[keep])], ["tile", "id", "n", "short"])
 
-    return sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "prefix").mapInArrow(
-        shared, "tile long, doc_id long, n long, short boolean")
+    return sets.where("n_shingles > 0 and doc_id is not null").select(
+        F.col("set_a").alias("id"), "n_shingles", "prefix").mapInArrow(
+        shared, "tile long, id long, n long, short boolean")
 
 
-def set_arrays(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """doc_id and the sorted shingle hashes, as bytes, of the texts in pairs (and a few others)."""
-    bits = docs.sparkSession.sparkContext.broadcast(id_bits(
-        pairs.select(F.explode(F.array("a", "b")).alias("id"))))
+def set_arrays(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int) -> DataFrame:
+    """id and the sorted shingle hashes, as bytes, of the sets in pairs (and a few others).
+
+    Only texts of the sets' smallest documents are parted into shingles again.
+    """
+    context = docs.sparkSession.sparkContext
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(same, "id"), "asked")
+    bits = context.broadcast(id_bits(ids.select("id")))
+    heads = context.broadcast(id_bits(ids.select("head")))
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            batch = batch.filter(pa.array(among(seen, hashed_ids(batch.column(0)), 1 << 24)))
-            for first, hashes, sizes in shingle_sets(batch.column(1), n):
+            for _, hashes, sizes in shingle_sets(batch.column(1), n):
                 cut = np.concatenate([[0], np.cumsum(sizes)])
+                ids = pa.array(Slices(hashes).hashed(cut[:-1], cut[1:]).view(np.int64))
+                rows = np.flatnonzero(among(seen, hashed_ids(ids), 1 << 24) & (sizes > 0))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sizes)),
-                     pa.array([hashes[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)],
-                              pa.binary())], ["doc_id", "shingles"])
+                    [ids.take(pa.array(rows)),
+                     pa.array([hashes[cut[i]:cut[i + 1]].tobytes() for i in rows], pa.binary())],
+                    ["id", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(arrays, "doc_id long, shingles binary")
+    rows = rows_by_id(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), heads, True)
+    return rows.mapInArrow(arrays, "id long, shingles binary")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def linked(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough, by sorted-array intersection."""
     pairs = written(pairs, "pairs")
-    arrays = set_arrays(docs, pairs, n).dropDuplicates(["doc_id"])
+    arrays = set_arrays(docs, pairs, same, n).dropDuplicates(["id"])
+
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -199,8 +212,8 @@ def linked(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
-    left = arrays.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = arrays.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    left = arrays.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    right = arrays.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
         checked, "a long, b long")
 
@@ -216,11 +229,11 @@ def close(percent: int) -> F.Column:
 
 def close_when_wide(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that wide bitmaps, where both sides have them, don't rule out."""
-    wide = (sets.where(F.size("wide") > 0).select("doc_id", F.col("n_shingles").alias("n"), "wide")
-            .dropDuplicates(["doc_id"]))
-    rows = (pairs.join(wide.select(F.col("doc_id").alias("a"), F.col("n").alias("nx"), F.col("wide").alias("x")),
+    wide = (sets.where(F.size("wide") > 0).select(F.col("set_a").alias("id"), F.col("n_shingles").alias("n"), "wide")
+            .dropDuplicates(["id"]))
+    rows = (pairs.join(wide.select(F.col("id").alias("a"), F.col("n").alias("nx"), F.col("wide").alias("x")),
                        "a", "left")
-            .join(wide.select(F.col("doc_id").alias("b"), F.col("n").alias("ny"), F.col("wide").alias("y")),
+            .join(wide.select(F.col("id").alias("b"), F.col("n").alias("ny"), F.col("wide").alias("y")),
                   "b", "left"))
     # a bitmap folded in half is the bitmap of half the bits
     for one, other in (("x", "y"), ("y", "x")):
@@ -234,41 +247,45 @@ def close_when_wide(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 
 def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: int = 4096) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document; links have similarity ``percent`` or more."""
+    """doc_id, n_shingles, component_id, text_key, group_id of every document; links have similarity ``percent`` or more.
+
+    ``text_key`` tells rows apart that share a doc_id, ``group_id`` names the
+    component and is null for rows that take no part in links.
+    """
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(frequencies(docs, n).tobytes())
     sets = written(signed_sets(docs, n, percent, order), "sets")
-    same = (sets.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
-            .agg(F.min("doc_id").alias("head")))
+    named_sets = sets.where("n_shingles > 0 and doc_id is not null")
+    same = written(named_sets.groupBy(F.col("set_a").alias("id"))
+                   .agg(F.min("doc_id").alias("head")), "same")
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    found = written(postings(sets, percent).join(same.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
-                    .distinct().withColumn("band", band), "postings")
+    found = written(postings(sets, percent).distinct().withColumn("band", band), "postings")
     # a group's source shares more of its prefix than copies with edits of their own
-    degree = Window.partitionBy("doc_id")
+    degree = Window.partitionBy("id")
     shared = found.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     tiles = written(found.join(shared, "tile").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("rows") / tile_rows)).cast("int"))
+        "part", F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / tile_rows)).cast("int"))
         .withColumn("degree", F.count(F.lit(1)).over(degree)), "tiles")
 
-    by_size = Window.partitionBy("tile", "part").orderBy("n", "doc_id")
+    by_size = Window.partitionBy("tile", "part").orderBy("n", "id")
     in_part = Window.partitionBy("tile", "part")
-    hub = F.max_by(F.struct("n", "doc_id"), F.struct(F.col("degree"), -F.col("doc_id"))).over(in_part)
-    tried = tiles.select("doc_id", "n", F.lag(F.struct("n", "doc_id")).over(by_size).alias("p"), hub.alias("q"))
-    tried = (tried.select("doc_id", "n", F.explode(F.array("p", "q")).alias("o"))
-             .where(F.col("o").isNotNull() & (F.col("o.doc_id") != F.col("doc_id"))
+    hub = F.max_by(F.struct("n", "id"), F.struct("degree", "id")).over(in_part)
+    tried = tiles.select("id", "n", F.lag(F.struct("n", "id")).over(by_size).alias("p"), hub.alias("q"))
+    tried = (tried.select("id", "n", F.explode(F.array("p", "q")).alias("o"))
+             .where(F.col("o").isNotNull() & (F.col("o.id") != F.col("id"))
                     & (F.least("o.n", "n") * 100 >= F.greatest("o.n", "n") * percent))
-             .select(F.least("doc_id", "o.doc_id").alias("a"), F.greatest("doc_id", "o.doc_id").alias("b"))
+             .select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b"))
              .distinct())
-    bits = sets.where("n_shingles > 0").select("doc_id", F.col("n_shingles").alias("n"), "bits")
-    fits = (tried.join(bits.alias("l"), F.col("a") == F.col("l.doc_id"))
-            .join(bits.alias("r"), F.col("b") == F.col("r.doc_id"))
-            .where(close(percent)).select("a", "b").distinct())
-    links = written(linked(docs, close_when_wide(fits, sets, percent), n, percent), "links")
+    bits = named_sets.select(F.col("set_a").alias("id"), F.col("n_shingles").alias("n"), "bits").dropDuplicates(["id"])
+    fits = (tried.join(bits.alias("l"), F.col("a") == F.col("l.id"))
+            .join(bits.alias("r"), F.col("b") == F.col("r.id"))
+            .where(close(percent)).select("a", "b"))
+    links = written(linked(docs, close_when_wide(fits, sets, percent), same, n, percent), "links")
     groups = components(links)
 
-    named = (tiles.join(groups, tiles["doc_id"] == groups["id"], "left")
-             .select("tile", tiles["doc_id"], "n", "short", "band", "part", "rows",
-                     F.coalesce("component", tiles["doc_id"]).alias("component")))
+    named = (tiles.join(groups, "id", "left")
+             .select("tile", "id", "n", "short", "band", "part", "rows",
+                     F.coalesce("component", "id").alias("component")))
     # linked sets are in the same or the next band: those that meet in a band with one component are done
     in_band = named.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     next_too = F.explode(F.array("band", F.col("band") + 1)).alias("meet")
@@ -276,7 +293,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
                   .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("band").alias("top"))
                   .where("lo < hi and top = meet").select("tile", "meet"))
     open_rows = (named.select("*", next_too).join(open_bands, ["tile", "meet"], "left_semi")
-                 .join(bits.select("doc_id", "bits"), "doc_id"))
+                 .join(bits.select("id", "bits"), "id"))
     # parts of a split tile meet pairwise; the smaller set of a pair needs its short prefix only
     pairs = F.expr("sequence(0, cast(ceil(rows / {0}) as int) - 1)".format(tile_rows))
     low = open_rows.where("short").select("*", F.explode(pairs).alias("other"))
@@ -285,16 +302,17 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
                                 & (F.col("l.meet") == F.col("r.meet")) & (F.col("l.other") == F.col("r.other"))
                                 & (F.col("l.component") != F.col("r.component"))
                                 & ((F.col("l.n") < F.col("r.n"))
-                                   | ((F.col("l.n") == F.col("r.n")) & (F.col("l.doc_id") < F.col("r.doc_id"))))
+                                   | ((F.col("l.n") == F.col("r.n")) & (F.col("l.id") < F.col("r.id"))))
                                 & close(percent))
-            .select(F.least("l.doc_id", "r.doc_id").alias("a"), F.greatest("l.doc_id", "r.doc_id").alias("b"))
+            .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
             .distinct())
-    late = written(linked(docs, close_when_wide(more, sets, percent), n, percent), "links")
+    late = written(linked(docs, close_when_wide(more, sets, percent), same, n, percent), "links")
     groups = components(links.unionByName(late))
-    heads = (same.join(groups, same["head"] == groups["id"], "left")
-             .select("set_a", "set_b", F.coalesce("component", "head").alias("component_id")))
-    return (sets.select("doc_id", "n_shingles", "set_a", "set_b")
-            .join(heads, ["set_a", "set_b"], "left")
-            .select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
-                                                   F.col("component_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id")))
+    least = same.join(groups, "id").groupBy("component").agg(F.min("head").alias("least"))
+    heads = (same.join(groups, "id", "left").join(least, "component", "left")
+             .select("id", F.coalesce("least", "head").alias("_least"), F.coalesce("component", "id").alias("group_id")))
+    return (sets.select("doc_id", "text_key", "n_shingles", F.when(
+                (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_a")).alias("id"))
+            .join(heads, "id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), "text_key",
+                    "group_id"))

@@ -72,6 +72,21 @@ def test_jaccard(docs, none):
     assert jaccard.jaccard_groups(none).count() == 0
 
 
+def test_jaccard_of_rows_that_share_an_id(spark):
+    """Every text of an id takes part in links, whichever row comes first."""
+    a, b = numbered(0, 100), numbered(500, 600)
+    rows = [(6, a), (6, b), (7, b + " more"), (8, a + " else"), (9, numbered(900, 950)), (None, a), (9, "")]
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, "en", "s", 1, 2, "k") for i, t in some], SCHEMA)
+        got = jaccard.jaccard_groups(docs).collect()
+        assert sorted(((r[0] or 0, r[1], r[2] or 0) for r in got)) == [
+            (0, 97, 0), (6, 97, 6), (6, 97, 6), (7, 98, 6), (8, 98, 6), (9, 0, 9), (9, 47, 9)]
+        groups = defaultdict(set)
+        for r in got:
+            groups[r["group_id"]].add(r["doc_id"])
+        assert groups.pop(None) == {None, 9} and sorted(map(sorted, groups.values())) == [[6, 7], [6, 8], [9]]
+
+
 def test_wide_bitmaps(spark):
     """Long texts of unlike sizes: close ones link, and the bound rules no link out."""
     long_texts = [(1, numbered(0, 4100)), (2, numbered(0, 4000) + " " + numbered(9000, 9100)),
@@ -84,7 +99,8 @@ def test_wide_bitmaps(spark):
     sets = jaccard.signed_sets(docs, 4, 85, order)
     assert {r["doc_id"]: len(r["wide"]) for r in sets.collect()} == {1: 128, 2: 128, 3: 64, 4: 128, 5: 64, 6: 64, 7: 64}
     pairs = spark.createDataFrame([(1, 5), (2, 5), (1, 3), (1, 4), (3, 6), (4, 7), (1, 99)], "a long, b long")
-    kept = {tuple(r) for r in jaccard.close_when_wide(pairs, sets, 85).select("a", "b").collect()}
+    kept = {tuple(r) for r in jaccard.close_when_wide(
+        pairs, sets.withColumn("set_a", sets["doc_id"]), 85).select("a", "b").collect()}
     assert kept >= {(1, 5), (2, 5), (4, 7), (1, 99)} and not kept & {(1, 4), (3, 6)}
 
 
@@ -213,6 +229,88 @@ def test_fingerprints(docs, none):
     assert fingerprints.fingerprinted(none).count() == 0
 
 
+def test_next_of_distant_repeated_and_null_ids(spark):
+    ids = [*range(300), -2**63, 2**63 - 1, 2**62, *[77] * 200, *[None] * 150]
+    rows = [(i, f"text {k} of {i}") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (4096, 1, 3):
+        got = fingerprints.with_next(docs, ("doc_id", "text"), lambda df: df, parts).collect()
+        follows = {(r["doc_id"], r["text"]): (r["next_doc_id"], r["next_text"]) for r in got}
+        assert len(follows) == len(rows) and set(follows) == set(follows.values()) == set(rows)
+        at, seen = max(rows, key=lambda r: -2**64 if r[0] is None else r[0]), []
+        while at not in seen:
+            seen.append(at)
+            at = follows[at]
+        assert len(seen) == len(rows)  # one ring
+        order = [-2**64 if i is None else i for i, _ in seen]
+        assert order == sorted(order, reverse=True)
+    sizes = [r["count"] for r in fingerprints.ranged(docs).groupBy("_range").count().collect()]
+    assert max(sizes) < 100  # neither the repeated id, nor null, nor the ids between the distant ones
+
+
+def plain_anchors(tokens, k, s):
+    """Closed syncmers step by step: {hash: first place}, the smallest ``KEEP`` hashes."""
+    import xxhash
+
+    def chained(parts):
+        seed = 42
+        for x in parts:
+            seed = xxhash.xxh64_intdigest(x if isinstance(x, bytes) else x.to_bytes(8, "little"), seed)
+        return seed
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    inner = [chained(t.encode() for t in tokens[i:i + s]) for i in range(len(tokens) - s + 1)]
+    places = {}
+    if tokens and not inner:
+        places[chained(t.encode() for t in tokens) >> 32] = 0
+    elif len(inner) <= k - s:
+        for i, h in reversed(list(enumerate(inner))):
+            places[h >> 32] = i
+    else:
+        for i in reversed(range(len(inner) - (k - s))):
+            window = inner[i:i + k - s + 1]
+            if min(map(signed, window)) in (signed(window[0]), signed(window[-1])):
+                places[chained(window) >> 32] = i
+    return dict(sorted(places.items())[:fingerprints.KEEP])
+
+
+def plain_likeness(x, y):
+    if not x and not y:
+        return 1.0
+    smallest = sorted(set(x) | set(y))[:fingerprints.KEEP]
+    share = sum(h in x and h in y and abs(x[h] - y[h]) <= fingerprints.SHIFT for h in smallest) / len(smallest)
+    return 2 * share / (1 + share)
+
+
+def test_fingerprints_step_by_step(spark):
+    """Anchors and likenesses of every text equal those of a plain loop."""
+    rows = [(i, t) for i, t in dict(texts()).items()] + [(50, "x" * 600), (51, "tiny"), (52, numbered(0, 90) + " z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.fingerprinted(docs).collect()}
+
+    def both(t):
+        return plain_anchors(WORD.findall(t), 3, 1), plain_anchors(list(t), 8, 3) if len(t) <= 512 else None
+
+    def near(x, y):
+        at = int(x[1] is not None and y[1] is not None)
+        return plain_likeness(x[at], y[at])
+
+    def shown(pair):
+        return "|".join(" ".join(f"{h:X}:{at}" for h, at in (p or {}).items()) for p in pair)
+
+    ring = sorted(rows, reverse=True)
+    for k, (i, t) in enumerate(ring):
+        after = ring[(k + 1) % len(ring)][1]
+        cut = len(t) // 3
+        own, edited = both(t), both(t[:len(t) - cut] + after[:cut])
+        assert got[i]["fingerprint"] == shown(own), i
+        assert got[i]["edited_fingerprint"] == shown(edited), i
+        assert got[i]["near_edited"] == pytest.approx(near(own, edited)), i
+        assert got[i]["near_next"] == pytest.approx(near(own, both(after))), i
+
+
 def test_rules(spark, docs, none):
     labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in ROWS], "doc_id long, quality int, toxic int")
     got = {r["doc_id"]: r for r in rules.rule_verdicts(docs, labels).collect()}
