@@ -5,9 +5,10 @@ return the columns of ``docs``.  A stage judges its own input.  Labels come from
 ``labels`` in ``sf_dir`` and serve to calibrate and fit only.
 
 Null texts are empty and go at the first stage, as do other texts under 20 words.
-Rows that repeat another's doc_id stay until near copies are dropped: of a group
-of documents the row with the group's smallest doc_id stays.  A document whose
-text is all repeats stays with an empty text.
+Of a group of near copies the row with the smallest doc_id stays; rows that share
+a doc_id but not a text are documents of their own, and of rows that share both
+one stays.  Rows without a doc_id take no part in that.  A document whose text is
+all repeats stays with an empty text.
 """
 
 from __future__ import annotations
@@ -33,12 +34,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 5-word shingles at similarity 0.8."""
-    groups = written(jaccard.jaccard_groups(docs, n=5, percent=80), "groups")
-    heads = groups.where("component_id is null or component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(heads.where("doc_id is not null"), "doc_id", "left_semi")
-    none = docs.where(F.col("doc_id").isNull())
-    return kept.select(docs.columns).dropDuplicates(["doc_id"]).unionByName(none)
+    """One document of each group linked by 5-word shingles at similarity 0.8: the one with the smallest id."""
+    rows = jaccard.jaccard_groups(docs, n=5, percent=80).where("doc_id is not null")
+    # rows without words are linked with nothing, and each is a group of its own
+    groups = F.coalesce(F.col("group_id").cast("string"), F.concat_ws(":", "doc_id", "text_key"))
+    heads = (rows.groupBy(groups.alias("group")).agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
+             .select(F.col("head.doc_id").alias("_id"), F.col("head.text_key").alias("_key")))
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"),
+                         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_key"))
+    kept = marked.join(heads, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return kept.unionByName(marked.where("_id is null")).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
