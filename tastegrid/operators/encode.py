@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegrid.functions import text as tx
@@ -37,10 +38,34 @@ def multi_hot_long(labels: DataFrame, key: str, label: str, prefix: str = "") ->
                          F.lit(1.0).alias("value"))
 
 
-def multi_hot_wide(labels: DataFrame, key: str, label: str, values: Sequence[str]) -> DataFrame:
-    """One 0/1 column per given label.  The label list is explicit, so the schema repeats."""
+def label_list(labels: DataFrame, label: str, most: int = 2000) -> list[str]:
+    """All labels, sorted, of a column that has at most ``most`` different ones.
+
+    Only such a list can become columns; a larger one raises and belongs in rows.
+    """
+    found = labels.where(F.col(label).isNotNull()).select(label).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} labels in {label}: use the long form")
+    return sorted(r[0] for r in found)
+
+
+def multi_hot_wide(labels: DataFrame, key: str, label: str, values: Sequence[str] | None = None) -> DataFrame:
+    """One 0/1 column per label, sorted: of the given labels, or of all there are."""
+    values = label_list(labels, label) if values is None else sorted(values)
     return labels.groupBy(key).agg(*[
-        F.max((F.col(label) == v).cast("int")).alias(v) for v in sorted(values)])
+        F.max(F.coalesce((F.col(label) == v).cast("int"), F.lit(0))).alias(v) for v in values])
+
+
+def attach_labels(frame: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
+    """``frame`` with a 0/1 column per label in its list ``column``, which goes; a missing list has none.
+
+    The list stands in the row it encodes, so nothing is joined.
+    """
+    if values is None:
+        values = label_list(frame.select(F.explode(column).alias("label")), "label")
+    rest = [c for c in frame.columns if c != column]
+    return frame.select(*rest, *[F.coalesce(F.array_contains(column, v).cast("int"), F.lit(0)).alias(v)
+                                 for v in sorted(values)])
 
 
 def vocabulary(labels: DataFrame, label: str) -> DataFrame:
@@ -62,10 +87,26 @@ def min_max(frame: DataFrame, columns: Sequence[str], suffix: str = "_std") -> D
     return frame.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 
 
-def melt(frame: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def melt(frame: DataFrame, key: str, columns: Sequence[str], keep_nulls: bool = False) -> DataFrame:
     """Wide numeric columns to (key, feature, value) rows."""
     pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
-    return frame.select(key, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    long = frame.select(key, F.inline(F.array(*pairs)))
+    return long if keep_nulls else long.where(F.col("value").isNotNull())
+
+
+def stacked_features(parts: Sequence[DataFrame], key: str) -> DataFrame:
+    """(key, feature, value) rows of the keys that every part has, without null values.
+
+    The parts are read once each and meet in one shuffle on ``key``, whose rows
+    are bounded by the feature names.  A key counts as a part's by any row of it.
+    """
+    marked = [part.select(key, "feature", "value", F.lit(n).alias("_part")) for n, part in enumerate(parts)]
+    rows = reduce(DataFrame.unionByName, marked).where(F.col(key).isNotNull())
+    group = Window.partitionBy(key)
+    held = rows.withColumns({f"_has{n}": F.max((F.col("_part") == n).cast("int")).over(group)
+                             for n in range(len(parts))})
+    return held.where(" and ".join(f"_has{n} = 1" for n in range(len(parts)))).where(
+        F.col("value").isNotNull()).select(key, "feature", "value")
 
 
 def present_features(features: DataFrame, key: str) -> DataFrame:

@@ -48,17 +48,24 @@ def closed_form(kind: str, sums: Mapping[str, Column]) -> Column:
 
 
 def similarities(ratings: DataFrame, asked: DataFrame, of: str, over: str, kind: str = "msd",
-                 min_common: int = 1) -> DataFrame:
+                 min_common: int = 1, wanted: DataFrame | None = None) -> DataFrame:
     """(a, b, sim, n): likeness of every asked ``of`` to all others with a common ``over``.
 
     ``ratings`` has one row per pair.  Sums run over common keys only; pearson is
-    null with fewer than two of them or where a side is constant.
+    null with fewer than two of them or where a side is constant.  With ``wanted``
+    only its pairs (a, b) are summed up: their ``b`` alone enter the join, and the
+    rest go before the sums are formed, in the shuffle that the sums need anyway.
     """
     left = (ratings.join(asked.select(of).distinct(), of, "left_semi")
             .select(F.col(over), F.col(of).alias("a"), F.col("rating").alias("x")))
     right = ratings.select(F.col(over), F.col(of).alias("b"), F.col("rating").alias("y"))
     x, y = F.col("x"), F.col("y")
-    sums = (in_blocks(left, right, over, "a", "b").where("a <> b").groupBy("a", "b").agg(
+    if wanted is not None:
+        right = right.join(wanted.select("b").distinct(), "b", "left_semi")
+    common = in_blocks(left, right, over, "a", "b").where("a <> b")
+    if wanted is not None:
+        common = common.join(wanted.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    sums = (common.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * y).alias("sxy"),
         F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum((x - y) * (x - y)).alias("sd")))
     return sums.where(F.col("n") >= min_common).select("a", "b", closed_form(kind, {c: F.col(c) for c in sums.columns}).alias("sim"), "n")
@@ -74,9 +81,12 @@ def knn_predictions(train: DataFrame, asked: DataFrame, k: int = 40, kind: str =
     """
     of, over = ("user_id", "item_id") if user_based else ("item_id", "user_id")
     pairs = asked.select(of, over).distinct()
-    sims = similarities(train, pairs, of, over, kind).where("sim > 0").select(F.col("a").alias(of), "b", "sim")
     means = train.groupBy(of).agg(F.avg("rating").alias("own_mean"))
     raters = train.select(over, F.col(of).alias("b"), "rating")
+    # a prediction reads the likeness to raters of what is asked, and no other
+    wanted = in_blocks(pairs, raters, over, of, "b").select(F.col(of).alias("a"), "b")
+    sims = (similarities(train, pairs, of, over, kind, wanted=wanted).where("sim > 0")
+            .select(F.col("a").alias(of), "b", "sim"))
     if centred:
         raters = (raters.join(means.select(F.col(of).alias("b"), "own_mean"), "b")
                   .select(over, "b", (F.col("rating") - F.col("own_mean")).alias("rating")))

@@ -30,7 +30,8 @@ def split(frame: DataFrame, key: Column, test_share: float, seed: int = 42) -> t
 def with_split(frame: DataFrame, key: Column, test_share: float, seed: int = 42,
                name: str = "is_test") -> DataFrame:
     """The split as a flag, when both sides are used in one plan."""
-    return frame.withColumn(name, hashing.drawn_below(hashing.draw(key, seed), test_share))
+    chosen = hashing.drawn_below(hashing.draw(key, seed), test_share)
+    return frame.withColumn(name, F.coalesce(chosen, F.lit(False)))  # as in ``split``
 
 
 def with_fold(frame: DataFrame, key: Column, k: int = 5, seed: int = 42) -> DataFrame:

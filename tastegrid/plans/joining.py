@@ -86,12 +86,11 @@ def aligned_series(spark, folder):
 
 
 @registered("jn7_attach_encoded_columns", over("metadata", """
-    SELECT item_id, list_contains(tags, 'red')::INT AS red, list_contains(tags, 'ring')::INT AS ring,
-           list_contains(tags, 'small')::INT AS small
-    FROM metadata"""))
+    SELECT item_id, coalesce(COLUMNS(* EXCLUDE item_id), 0)::INT FROM (SELECT item_id FROM metadata) LEFT JOIN (
+        PIVOT (SELECT DISTINCT item_id, unnest(tags) AS tag FROM metadata) ON tag USING count(*) GROUP BY item_id)
+    USING (item_id)"""))
 def attach_encoded_columns(spark, folder):
-    return domain.metadata(spark, folder).select(
-        "item_id", *[F.array_contains("tags", t).cast("int").alias(t) for t in ("red", "ring", "small")])
+    return encode.attach_labels(domain.metadata(spark, folder).select("item_id", "tags"), "tags")
 
 
 @registered("jn8_semi_join", over("reviews item_languages", """

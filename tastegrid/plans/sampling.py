@@ -83,9 +83,7 @@ def pair_hash(user: str = "user_id", item: str = "item_id", seed: int = 42) -> s
 @registered("smp7_ratings_split", over("ratings", f"""
     SELECT user_id, item_id, rating, substr({pair_hash()}, 1, 8) < '4ccccccc' AS is_test FROM ratings"""))
 def ratings_split(spark, folder):
-    train, test = sample.split(domain.ratings(spark, folder), sample.key_of("user_id", "item_id"), 0.3)
-    return (train.withColumn("is_test", F.lit(False))
-            .unionByName(test.withColumn("is_test", F.lit(True))))
+    return sample.with_split(domain.ratings(spark, folder), sample.key_of("user_id", "item_id"), 0.3)
 
 
 @registered("smp8_interactions_split", over("interactions", f"""
