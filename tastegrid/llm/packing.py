@@ -31,7 +31,7 @@ from tastegrid.llm.tables import slots, written
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 # How this tokenizer family parts a word.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-MEMO_WORDS = 100_000
+MEMO_WORDS = 150_000
 
 
 class WordIds:
@@ -40,7 +40,9 @@ class WordIds:
     Such a tokenizer never joins what white space parts, so words (runs without
     ASCII white space) are encoded one by one and remembered within bounds.  A
     word of Latin letters is lower-cased and parted here, and the library's own
-    model encodes the parts; any other word goes through the whole library.
+    model encodes the parts; any other word goes through the whole library.  A
+    word's lower-case letters are remembered as a word of their own, so that
+    case and punctuation around them cost a lookup.
     """
 
     def __init__(self, path: str):
@@ -54,7 +56,7 @@ class WordIds:
         self.parts = regex.compile(PARTS).findall
         self.odd = regex.compile("[^\\x00-\u024f]|<\\|").search
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.part_ids = Memo(self.part, MEMO_WORDS)
+        self.marks = Memo(self.part, MEMO_WORDS // 16)
         self.words = Memo(self.word, MEMO_WORDS)
 
     def part(self, part: str) -> bytes:
@@ -62,14 +64,14 @@ class WordIds:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def word(self, word: bytes) -> bytes:
-        low = word.decode().lower()
-        if low in self.part_ids:  # holds words of Latin letters only
-            return self.part_ids[low]
-        if self.odd(low) or not low.isprintable():
-            text = word.decode()
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        parts = [low] if low.isalpha() else self.parts(low)
-        return b"".join(map(self.part_ids.__getitem__, parts))
+        shown = word.decode()
+        low = shown.lower()
+        plain = low.isalpha()
+        if not (plain and low.isascii()) and (self.odd(low) or not low.isprintable()):
+            return array("I", self.tokenizer.encode(shown, add_special_tokens=False).ids).tobytes()
+        if not plain:
+            return b"".join([self.words[p.encode()] if p.isalpha() else self.marks[p] for p in self.parts(low)])
+        return self.part(low) if low == shown else self.words[low.encode()]
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, text.split()))
