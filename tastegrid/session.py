@@ -20,6 +20,10 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Text rows differ a thousandfold in length, so Arrow batches are bounded in bytes
+# rather than left at Spark's 64 MB: a batch is held by the JVM and by its worker.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 _SHIPPED: set[str] = set()
 
 
@@ -44,7 +48,10 @@ def ship(spark: SparkSession) -> None:
     Functions that run in Python workers are sent by name, so the workers must be
     able to import the package wherever the driver was started.  An archive of it
     is put into the shared folder, from where Spark hands it to the executors.
+    The size of Arrow batches is set as well where the session leaves it open.
     """
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
