@@ -175,7 +175,7 @@ def test_sharding(docs, none):
         slots[r["shard"]].append(r["slot"])
     assert all(len(s) == 1 for s in by_text.values())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert sharding.longest_first([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
+    assert sharding.longest_first([("a", 5), ("b", 4), ("c", 3), ("d", 3)], [0, 0]) == {"a": 0, "b": 1, "c": 1, "d": 0}
     assert sharding.shard_documents(none).count() == 0
 
 
