@@ -56,7 +56,9 @@ def in_cells(vectors: DataFrame, key: str, middle: np.ndarray, probes: int = 1)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = np.argsort(-(serving.matrix(pa.chunked_array([batch.column(1)])) @ middle.T), axis=1, kind="stable")[:, :probes]
+            wide = serving.matrix(pa.chunked_array([batch.column(1)]))
+            near = np.concatenate([np.argsort(-(wide[part] @ middle.T), axis=1, kind="stable")[:, :probes]
+                                   for part in serving.in_chunks(len(wide), len(middle))])
             rows = pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(near.ravel().astype(np.int32))],
@@ -88,7 +90,7 @@ def nearest_by_cells(vectors: DataFrame, asked: DataFrame, key: str, k: int = 10
     rows = (in_cells(asked, key, middle, probes).join(F.broadcast(parts), "ib")
             .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
             .select(key, "vec", F.array(F.col(key)).alias("seen"), F.struct("ib", "_b").alias("ib")))
-    found = serving.in_block_pairs(rows, placed, key, "neighbour", serving._best(key, "neighbour", k), schema, block_users)
+    found = serving.in_block_pairs(rows, placed, key, "neighbour", serving._best(key, "neighbour", k), schema, block_users, cells)
     best = top_k_per_group(found, key, [F.desc("score"), F.asc("neighbour")], k)
     return best.select(key, F.col("pos").cast("int").alias("pos"), "neighbour", F.col("score").alias("cosine"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
@@ -227,3 +228,31 @@ def test_marks_are_the_shorter_fits(planted):
     found = {e: scores(m, features)[0] for e, m in hybrid.fits(train, features, settings, (1,))}
     short = scores(hybrid.fit(train, features, replace(settings, epochs=1)), features)[0]
     assert set(found) == {1, 2} and all(np.allclose(found[1][u], short[u]) for u in short)
+
+
+def test_wide_blocks_take_bounded_memory():
+    """A block pair is scored in parts: the tables of all its scores never exist at once."""
+    rng = np.random.default_rng(5)
+    users, items = rng.normal(size=(500, 4)), rng.normal(size=(20_000, 4))
+    vectors = lambda key, of, **more: pa.table({key: np.arange(len(of)), "vec": pa.array(of.tolist()), **more})
+    left = vectors("user_id", users, seen=pa.array([[0]] * len(users), pa.list_(pa.int64())))
+    right = vectors("item_id", items)
+    tracemalloc.start()
+    got = serving._best("user_id", "item_id", 3)(left, right)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.num_rows == 1500 and most < 40e6  # all scores take 80 MB, and their order as much again
+
+
+def test_scores_with_many_ties():
+    rng = np.random.default_rng(6)
+    scores = rng.integers(0, 4, size=(7, 900)).astype(float)
+    scores[0, 5:] = -np.inf
+    row, column, value = serving._best_places(scores, np.full(7, -np.inf), 6)
+    want = [(r, c, -v) for r in range(7) for v, c in sorted((-s, c) for c, s in enumerate(scores[r]) if s > -np.inf)[:6]]
+    assert list(zip(row.tolist(), column.tolist(), value.tolist(), strict=True)) == want
+    line = scores[1] + rng.choice([0, 1e-12], 900)
+    for n in (3, 200):  # a pass for each, and one sort
+        place = rng.choice(900, n, replace=False)
+        order = {c: p for p, (_, c) in enumerate(sorted((-round(s, 9), c) for c, s in enumerate(line)))}
+        assert serving._above(line, np.round(line[place], 9), place).tolist() == [order[c] for c in place.tolist()]
