@@ -1,63 +1,87 @@
 """All settings of a neighbourhood model, cross-validated in one job (EV6).
 
-The ratings meet themselves once per side.  Every co-rating adds to the sums of the
-folds in which both its ratings train, so one grouping gives the similarities of all
-kinds and folds; joined back to the co-ratings, they rank the neighbours of every
-test rating once per kind, and each k is a sum over the first k ranks.
+The ratings meet themselves once per side, in the buckets of ``neighbours.with_raters``.
+Every co-rating adds to the sums of the folds in which both its ratings train, so one
+pass over a bucket gives the similarities of all kinds and folds; these rank the
+neighbours of every rating of the bucket once per kind, and each k is a sum over the
+first k ranks.  Only sums leave a bucket; those of an ``a`` that is cut into parts are
+preceded by the nearest of each part, which are ranked again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.functions.ratings import clip_rating
 from tastegrid.operators import metrics
-from tastegrid.operators.neighbours import closed_form, in_blocks
+from tastegrid.operators.neighbours import Pairs, likeness, ranked, with_raters
 from tastegrid.operators.ranking import top_k_per_group
-from tastegrid.operators.stored import written
 
-SUMS = ("n", "sx", "sy", "sxy", "sxx", "syy", "sd")
 
+def nearest_of_folds(kinds: Sequence[str], ks: Sequence[int], folds: int, whole: bool) -> Callable[[pa.Table], pa.Table]:
+    """Neighbours of the ratings of a bucket, from the folds that a rating is not in.
 
-def co_ratings(ratings: DataFrame, user_based: bool) -> DataFrame:
-    """(a, over, x, fa, b, y, fb): two raters of one thing, or two things of one rater, with their folds."""
-    of, over = ("user_id", "item_id") if user_based else ("item_id", "user_id")
-    left = ratings.select(F.col(over).alias("over"), F.col(of).alias("a"), F.col("rating").alias("x"), F.col("fold").alias("fa"))
-    right = ratings.select(F.col(over).alias("over"), F.col(of).alias("b"), F.col("rating").alias("y"), F.col("fold").alias("fb"))
-    return in_blocks(left, right, "over", "a", "b").where("a <> b")
-
-
-def fold_similarities(pairs: DataFrame, kinds: Sequence[str], folds: int) -> DataFrame:
-    """(a, b, sims): ``sims[fold][kind]``, from the co-ratings of which neither rating is held out."""
-    x, y = F.col("x"), F.col("y")
-    terms = dict(zip(SUMS, (F.lit(1), x, y, x * y, x * x, y * y, (x - y) * (x - y)), strict=True))
-
-    def of_fold(f: int) -> Column:
-        trains = (F.col("fa") != f) & (F.col("fb") != f)
-        return F.struct(*[F.sum(F.when(trains, term)).alias(name) for name, term in terms.items()])
-
-    sums = pairs.groupBy("a", "b").agg(F.array(*[of_fold(f) for f in range(folds)]).alias("_s"))
-    sims = F.transform("_s", lambda s: F.array(*[closed_form(kind, {name: s[name] for name in SUMS}) for kind in kinds]))
-    return sums.select("a", "b", sims.alias("sims"))
+    ``whole``: (a, over, kind, k, top, bottom), the weighted sums over the first k.
+    Otherwise (a, over, kind, b, sim, y), the first ``max(ks)``.
+    """
+    def work(table: pa.Table) -> pa.Table:
+        pairs = Pairs(table)
+        x, fa, y, fb = pairs.of_row("x"), pairs.of_row("fa"), pairs.of_list("y"), pairs.of_list("fb")
+        over, names = ranked(table["over"].combine_chunks())
+        sims = np.full((len(kinds), len(pairs.row)), np.nan)
+        for f in range(folds):
+            sums = pairs.sums(x, y, np.flatnonzero((fa != f) & (fb != f)))
+            held = np.flatnonzero((fa == f) & (fb != f))
+            for i, kind in enumerate(kinds):
+                sims[i, held] = likeness(kind, sums)[pairs.key[held]]
+        out = []
+        for i in range(len(kinds)):
+            at = np.flatnonzero(sims[i] > 0)
+            groups, group = np.unique(pairs.a[at] * max(1, len(names)) + over[pairs.row[at]], return_inverse=True)
+            sim, value = sims[i][at], y[at]
+            if not whole:
+                keep, _ = pairs.first(group, sim, pairs.b[at], max(ks))
+                at, groups, sim, value = at[keep], groups[group[keep]], sim[keep], value[keep]
+            a, of = np.divmod(groups, max(1, len(names)))
+            left = [pairs.names.take(pa.array(a)), names.take(pa.array(of)), pa.array(np.full(len(a), i, dtype=np.int32))]
+            if not whole:
+                out.append(pa.table([*left, pairs.names.take(pa.array(pairs.b[at])), pa.array(sim), pa.array(value)],
+                                    names=["a", "over", "kind", "b", "sim", "y"]))
+                continue
+            for k in ks:
+                keep, _ = pairs.first(group, sim, pairs.b[at], k)
+                top, bottom = (np.bincount(group[keep], w, len(groups)) for w in (sim[keep] * value[keep], sim[keep]))
+                out.append(pa.table([*left, pa.array(np.full(len(a), k, dtype=np.int32)), pa.array(top, pa.float64()), pa.array(bottom, pa.float64())],
+                                    names=["a", "over", "kind", "k", "top", "bottom"]))
+        return pa.concat_tables(out)
+    return work
 
 
 def side_predictions(ratings: DataFrame, user_based: bool, kinds: Sequence[str], ks: Sequence[int], folds: int) -> DataFrame:
     """(kind, user_based, k, fold, rating, prediction) of every rating, predicted from the folds it is not in."""
     of, over = ("user_id", "item_id") if user_based else ("item_id", "user_id")
-    pairs = written(co_ratings(ratings, user_based), "co-ratings")
-    known = pairs.where("fa <> fb").join(fold_similarities(pairs, kinds, folds), ["a", "b"])
-    # of the folds, only the one that holds the asked rating counts
-    mine = F.col("sims")[F.col("fa")]
-    rows = (known.select("a", "over", "b", "y", F.posexplode(mine).alias("kind", "sim")).where("sim > 0"))
-    near = top_k_per_group(rows, ["a", "over", "kind"], [F.desc("sim"), F.asc("b")], max(ks), "rn")
-    first = lambda k, value: F.sum(F.when(F.col("rn") <= k, value))
-    drawn = near.groupBy("a", "over", "kind").agg(F.array(*[
-        F.struct(F.lit(k).alias("k"), (first(k, F.col("sim") * F.col("y")) / first(k, F.col("sim"))).alias("p"))
-        for k in ks]).alias("_p"))
+    value = F.col("rating").cast("double")
+    rows, parts = with_raters(
+        ratings.select(F.col(over).alias("over"), F.col(of).alias("a"), value.alias("x"), F.col("fold").alias("fa")),
+        ratings.select(F.col(over).alias("over"), F.col(of).alias("b"), value.alias("y"), F.col("fold").alias("fb")))
+    types = dict(ratings.dtypes)
+    keys = f"a {types[of]}, over {types[over]}, kind int"
+    drawn = (rows.where("_parts = 1").groupBy("bucket")
+             .applyInArrow(nearest_of_folds(kinds, ks, folds, True), f"{keys}, k int, top double, bottom double"))
+    if parts > 1:
+        near = (rows.where("_parts > 1").groupBy("bucket")
+                .applyInArrow(nearest_of_folds(kinds, ks, folds, False), f"{keys}, b {types[of]}, sim double, y double"))
+        near = top_k_per_group(near, ["a", "over", "kind"], [F.desc("sim"), F.asc("b")], max(ks), "rn")
+        cut = (near.withColumn("k", F.explode(F.array(*map(F.lit, ks)))).where("rn <= k").groupBy("a", "over", "kind", "k")
+               .agg(F.sum(F.col("sim") * F.col("y")).alias("top"), F.sum("sim").alias("bottom")))
+        drawn = drawn.unionByName(cut)
+    drawn = drawn.groupBy("a", "over", "kind").agg(F.collect_list(F.struct("k", (F.col("top") / F.col("bottom")).alias("p"))).alias("_p"))
     totals = ratings.groupBy("fold").agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("c"))
     every = totals.agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
     # the mean of the other folds: one row per fold

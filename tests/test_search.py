@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,3 +40,32 @@ def test_ratings_meet_once_per_side(spark):
                                                 "user_id long, item_id long, rating double, fold int"), "two")
     assert search.knn_grid(rows, (2,), ("msd",), folds=2).count() == 2
     assert search.knn_grid(rows.where("false"), (2,), ("msd",), folds=2).count() == 0
+
+
+def test_hot_ids_in_parts_change_nothing(spark, monkeypatch):
+    """An id with more co-ratings than a bucket takes is cut into parts, and the parts' neighbours are ranked together."""
+    draw = random.Random(9)
+    cells = {(draw.randrange(1, 16), draw.randrange(12)): float(draw.randrange(1, 6)) for _ in range(120)}
+    cells |= {(0, i): float(i % 5 + 1) for i in range(12)}
+    rows = stored.written(spark.createDataFrame([(u, i, r, draw.randrange(2)) for (u, i), r in cells.items()],
+                                                "user_id long, item_id long, rating double, fold int"), "hot")
+    train, test = rows.where("fold = 0"), rows.where("fold = 1")
+
+    def found():
+        grid = search.knn_grid(rows, (1, 2, 50), ("msd", "pearson"), folds=2).collect()
+        known = neighbours.knn_predictions(train, test, 2, centred=True).collect()
+        sims = neighbours.similarities(train, test, "user_id", "item_id", "cosine").collect()
+        return ([(r.kind, r.user_based, r.k, round(r.rmse, 9), round(r.mae, 9)) for r in sorted(grid)],
+                [(r.user_id, r.item_id, round(r.prediction, 9)) for r in sorted(known)], sorted(sims))
+
+    whole = found()
+    monkeypatch.setattr(neighbours, "PAIRS", 20)
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 3)
+    assert found() == whole
+
+
+def test_pairs_are_not_shuffled_one_by_one(spark):
+    """Lists of raters travel to the id that asks, and its sums are formed there."""
+    rows = spark.createDataFrame([(1, 2, 3.0), (2, 2, 4.0), (2, 3, 4.0)], "user_id long, item_id long, rating double")
+    plan = neighbours.similarities(rows, rows, "user_id", "item_id", k=1)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(a#\d+L?, b#", plan)
