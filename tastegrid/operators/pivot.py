@@ -11,21 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.neighbours import in_blocks
+from tastegrid.session import spread
 
 PART_ITEMS = 4_096
 
 
-def sparse_rows(ratings: DataFrame, numbers: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
+def sparse_rows(ratings: DataFrame, numbers: DataFrame, part_items: int = PART_ITEMS, many: int = 0) -> DataFrame:
     """(user_id, part, n, idx, rating): entry arrays sorted by item number.
 
     ``numbers`` is (raw_id, idx) of the items.  A part holds the item numbers of
-    one stretch of ``part_items``; a repeated pair keeps its mean rating.
+    one stretch of ``part_items``; a repeated pair keeps its mean rating.  ``many``
+    is about the number of ratings, by which the tasks rise.
     """
     known = numbers.select(F.col("raw_id").alias("item_id"), "idx")
-    cells = ratings.groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating")).join(known, "item_id")
+    cells = (spread(ratings, many, "user_id", "item_id").groupBy("user_id", "item_id").agg(F.avg("rating").alias("rating"))
+             .join(known, "item_id"))
     entries = F.sort_array(F.collect_list(F.struct("idx", "rating")))
-    part = F.floor(F.col("idx") / part_items).cast("long")
-    return (cells.groupBy("user_id", part.alias("part")).agg(entries.alias("_e"))
+    placed = cells.select("user_id", F.floor(F.col("idx") / part_items).cast("long").alias("part"), "idx", "rating")
+    return (spread(placed, many, "user_id", "part").groupBy("user_id", "part").agg(entries.alias("_e"))
             .select("user_id", "part", F.size("_e").alias("n"), F.col("_e.idx").alias("idx"), F.col("_e.rating").alias("rating")))
 
 

@@ -47,9 +47,9 @@ def recall_of_cells(spark, folder):
 
 def rows(spark, folder):
     """The sparse rating rows and the item numbers, in the order of the hashed ids."""
-    ratings = domain.ratings(spark, folder)
+    ratings = stored.written(domain.ratings(spark, folder), "ratings")
     numbers = stored.written(encode.id_map(ratings, "item_id"), "item-numbers")
-    return pivot.sparse_rows(ratings, numbers), numbers
+    return pivot.sparse_rows(ratings, numbers, many=ratings.count()), numbers
 
 
 NUMBERS = """SELECT item_id, row_number() OVER (ORDER BY md5(item_id::VARCHAR), item_id) - 1 AS idx
@@ -76,5 +76,5 @@ def unpivoted(spark, folder):
     FROM ratings a JOIN ratings b ON a.item_id = b.item_id AND a.user_id <> b.user_id
     WHERE a.user_id % 100 = 0 GROUP BY ALL"""))
 def user_products(spark, folder):
-    found, _ = rows(spark, folder)
+    found = stored.written(rows(spark, folder)[0], "rating-rows")
     return pivot.user_products(found, found.where(F.col("user_id") % 100 == 0))
