@@ -15,15 +15,20 @@ as often as they occur.  An empty table gives no rows.
 from __future__ import annotations
 
 import gc
+import itertools
+import string
 import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.arrays import lists
 from tastegrid.llm.byte_bpe import byte_letters
 from tastegrid.llm.memo import Memo
 from tastegrid.llm.tables import slots, written
@@ -32,6 +37,11 @@ PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 # How this tokenizer family parts a word.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MEMO_WORDS = 150_000
+# An apostrophe may begin a part of letters.
+MARKS = string.punctuation.replace("'", "")
+LAST_PLAIN = "\u024f"  # composed Latin letters end here
+# A special token or combining marks: some compose with a small letter only, and the library composes first.
+NOT_LOWERED = r"<\||[\x{300}-\x{37F}]"
 
 
 class WordIds:
@@ -43,6 +53,9 @@ class WordIds:
     model encodes the parts; any other word goes through the whole library.  A
     word's lower-case letters are remembered as a word of their own, so that
     case and punctuation around them cost a lookup.
+
+    ASCII letters of a text are lower-cased all at once, unless ``NOT_LOWERED``
+    occurs in it.
     """
 
     def __init__(self, path: str):
@@ -54,7 +67,7 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.parts = regex.compile(PARTS).findall
-        self.odd = regex.compile("[^\\x00-\u024f]|<\\|").search
+        self.odd = regex.compile(f"[^\\x00-{LAST_PLAIN}]|<\\|").search
         self.letters = {b: c for c, b in byte_letters().items()}
         self.marks = Memo(self.part, MEMO_WORDS // 16)
         self.words = Memo(self.word, MEMO_WORDS)
@@ -63,18 +76,36 @@ class WordIds:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def word(self, word: bytes) -> bytes:
-        shown = word.decode()
-        low = shown.lower()
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.part(word) if word.islower() else self.words[word.lower()]
+            stem = word.rstrip(MARKS)
+            if stem.isalpha():
+                return self.words[stem] + self.marks[word[len(stem):]]
+        low = word.lower()
         plain = low.isalpha()
-        if not (plain and low.isascii()) and (self.odd(low) or not low.isprintable()):
-            return array("I", self.tokenizer.encode(shown, add_special_tokens=False).ids).tobytes()
+        if not (plain and max(low) <= LAST_PLAIN) and (self.odd(low) or not low.isprintable()):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if not plain:
-            return b"".join([self.words[p.encode()] if p.isalpha() else self.marks[p] for p in self.parts(low)])
-        return self.part(low) if low == shown else self.words[low.encode()]
-
-    def __call__(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split()))
+            return b"".join([self.words[p] if p.isalpha() else self.marks[p] for p in self.parts(low)])
+        return self.part(low) if low == word else self.words[low]
+
+    def __call__(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; a word is looked up once per column, however often it occurs there."""
+        texts = column.fill_null("")
+        if not len(texts):
+            return
+        asis = pc.match_substring_regex(texts, NOT_LOWERED)
+        words = pc.ascii_split_whitespace(pc.if_else(asis, texts, pc.ascii_lower(texts)))
+        found = words.flatten().dictionary_encode()
+        ids = list(map(self.words.__getitem__, found.dictionary.to_numpy(zero_copy_only=False)))
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        ids = lists(flat, np.fromiter(map(len, ids), np.int64, len(ids)) // 4, pa.uint32()).take(found.indices)
+        cuts = np.asarray(ids.offsets)[np.asarray(words.offsets) - words.offsets[0].as_py()]
+        flat = np.asarray(ids.values)
+        for start, end in itertools.pairwise(cuts.tolist()):
+            yield flat[start:end].tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
@@ -84,8 +115,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) ->
         encode = WordIds(tokenizer_path)  # ends with the task, as idle workers keep what they hold
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                ids = encode(text.as_py() or b"") + b"\0\0\0\0"
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                ids += b"\0\0\0\0"
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for col, value in zip(cols, (doc, n, at // 4, len(part) // 4, zlib.crc32(part)),

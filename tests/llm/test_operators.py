@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("tastegrid.llm.queries")
@@ -133,6 +135,24 @@ def test_packing(docs, none):
     assert packing.pack_documents(none, path).count() == 0
 
 
+def test_packing_words_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["Abc abc ABC. abc, abc", None, "", "h\u0331 H\u0331 J\u030c j\u030c Ab", "<|ENDOFTEXT|> <|endoftext|>Ab <|x",
+             "don't DON'T. a..b x_y. \u00c9t\u00e9! \u0130 \u212a \u00c0 12.5% $$$ '' a'. \u03a3\u03a3 \u4e2d\u6587. x\u00a0y",
+             "\n a\tb\x0bc\x0c d\x1ce\r"]
+    encode = packing.WordIds(path)
+    looked_up = []
+    part = encode.part
+    encode.part = lambda p: looked_up.append(p) or part(p)
+    got = list(encode(pa.array(["none", *texts])[1:]))
+    assert got == [array("I", plain.encode(t or "", add_special_tokens=False).ids).tobytes() for t in texts]
+    assert looked_up.count("abc") == 1 and "ABC" not in encode.words and "Abc" not in encode.words
+    assert list(encode(pa.array([], pa.string()))) == []
+
+
 def test_packing_plan():
     plan = packing.Plan({2048: 3, 1500: 10, 548: 7, 600: 5, 100: 400, 1: 9}, 2048)
     used: dict[int, list] = defaultdict(list)
