@@ -259,11 +259,12 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     same = written(named_sets.groupBy(F.col("set_a").alias("id"))
                    .agg(F.min("doc_id").alias("head")), "same")
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    found = written(postings(sets, percent).distinct().withColumn("band", band), "postings")
+    # dealt by tile once, for the distinct rows and their number
+    found = (postings(sets, percent).repartition("tile").distinct()
+             .withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("tile"))).where("rows > 1"))
     # a group's source shares more of its prefix than copies with edits of their own
     degree = Window.partitionBy("id")
-    shared = found.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    tiles = written(found.join(shared, "tile").withColumn(
+    tiles = written(found.withColumn("band", band).withColumn(
         "part", F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / tile_rows)).cast("int"))
         .withColumn("degree", F.count(F.lit(1)).over(degree)), "tiles")
 
@@ -283,17 +284,17 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
     links = written(linked(docs, close_when_wide(fits, sets, percent), same, n, percent), "links")
     groups = components(links)
 
-    named = (tiles.join(groups, "id", "left")
-             .select("tile", "id", "n", "short", "band", "part", "rows",
-                     F.coalesce("component", "id").alias("component")))
     # linked sets are in the same or the next band: those that meet in a band with one component are done
-    in_band = named.groupBy("tile", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    meeting = Window.partitionBy("tile", "meet")
     next_too = F.explode(F.array("band", F.col("band") + 1)).alias("meet")
-    open_bands = (in_band.select("*", next_too).groupBy("tile", "meet")
-                  .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("band").alias("top"))
-                  .where("lo < hi and top = meet").select("tile", "meet"))
-    open_rows = (named.select("*", next_too).join(open_bands, ["tile", "meet"], "left_semi")
-                 .join(bits.select("id", "bits"), "id"))
+    open_rows = written(
+        tiles.join(groups, "id", "left")
+        .select("tile", "id", "n", "short", "band", "part", "rows", F.coalesce("component", "id").alias("component"))
+        .repartition("tile").select("*", next_too)
+        .withColumns({"lo": F.min("component").over(meeting), "hi": F.max("component").over(meeting),
+                      "top": F.max("band").over(meeting)})
+        .where("lo < hi and top = meet").drop("n", "lo", "hi", "top"), "open")
+    open_rows = open_rows.join(bits, "id")
     # parts of a split tile meet pairwise; the smaller set of a pair needs its short prefix only
     pairs = F.expr("sequence(0, cast(ceil(rows / {0}) as int) - 1)".format(tile_rows))
     low = open_rows.where("short").select("*", F.explode(pairs).alias("other"))
@@ -307,7 +308,7 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, tile_rows: in
             .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
             .distinct())
     late = written(linked(docs, close_when_wide(more, sets, percent), same, n, percent), "links")
-    groups = components(links.unionByName(late))
+    groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(late))
     least = same.join(groups, "id").groupBy("component").agg(F.min("head").alias("least"))
     heads = (same.join(groups, "id", "left").join(least, "component", "left")
              .select("id", F.coalesce("least", "head").alias("_least"), F.coalesce("component", "id").alias("group_id")))

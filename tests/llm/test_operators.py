@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -16,7 +18,7 @@ pytest.importorskip("tastegrid.llm.queries")
 from tastegrid.llm import (byte_bpe, components, fingerprints, jaccard, packing, quality,  # noqa: E402
                            rules, sharding, substrings, suffixes, toxicity)
 from tastegrid.llm.queries import tokenizer_file  # noqa: E402
-from tastegrid.session import local_session  # noqa: E402
+from tastegrid.session import checkpoint_root, local_session  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, kept string"
@@ -106,6 +108,32 @@ def test_wide_bitmaps(spark):
     assert kept >= {(1, 5), (2, 5), (4, 7), (1, 99)} and not kept & {(1, 4), (3, 6)}
 
 
+def test_jaccard_of_many_edits(spark):
+    """Sets of all sizes with edits of their own, against all pairs."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for group, words in enumerate((5, 9, 30, 64, 70, 130, 400)):
+        base = [f"g{group}w{i}" for i in range(words)]
+        for _ in range(9):
+            edit = list(base[:words - int(rng.integers(0, 1 + words // 8))])
+            for at in rng.integers(0, len(edit), int(rng.integers(0, 3))):
+                edit[at] = f"x{rng.integers(0, 3)}"
+            rows.append((int(len(rows) * 37 % 101), " ".join(edit), "en", "s", 1, 2, "k"))
+    sets = {r[0]: {tuple(w[a:a + 4]) for a in range(len(w) - 3)} for r in rows for w in [r[1].split()]}
+    head = {i: i for i in sets}
+    for _ in range(20):
+        for i, x in sets.items():
+            for j, y in sets.items():
+                if 100 * len(x & y) >= 85 * len(x | y):
+                    head[i] = head[j] = min(head[i], head[j])
+    before = set(os.listdir(f"{checkpoint_root(spark)[5:]}/tastegrid"))
+    got = jaccard.jaccard_groups(spark.createDataFrame(rows, SCHEMA), tile_rows=9).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == head
+    # postings are dealt by tile at once, and not stored before their tiles are
+    made = {d.split("-")[0] for d in set(os.listdir(f"{checkpoint_root(spark)[5:]}/tastegrid")) - before}
+    assert "tiles" in made and "postings" not in made
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 60), (60, 50), (7, 7)], "a long, b long")
     got = {r["id"]: r["component"] for r in components.components(chain).collect()}
