@@ -256,3 +256,30 @@ def test_scores_with_many_ties():
         place = rng.choice(900, n, replace=False)
         order = {c: p for p, (_, c) in enumerate(sorted((-round(s, 9), c) for c, s in enumerate(line)))}
         assert serving._above(line, np.round(line[place], 9), place).tolist() == [order[c] for c in place.tolist()]
+
+
+@pytest.mark.parametrize("kind", ["plain", "whole", "twins", "wide"])
+def test_ranks_in_single_precision_are_exact(monkeypatch, kind):
+    """Counts are those of doubles, and only where many scores are too near are whole lines of doubles formed."""
+    rng = np.random.default_rng(8)
+    users, items = rng.normal(size=(70, 5)), rng.normal(size=(3_000, 5))
+    if kind == "whole":
+        users, items = np.round(users), np.round(items)
+    elif kind == "twins":  # next to each other beyond single precision, some beyond the digits compared
+        items[1_000:2_000] = items[:1_000] + 1e-8
+        items[2_000:] = items[:1_000] + 1e-12
+    elif kind == "wide":
+        users, items = users * 1e20, items * 1e20
+    sizes = rng.integers(0, 5, 70)
+    sizes[3] = 40  # one sort for many
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    who, place = np.repeat(np.arange(70), sizes), rng.integers(0, 3_000, sizes.sum())
+    at = np.round(np.einsum("ij,ij->i", users[who], items[place]), 9)
+    scores = users @ items.T
+    want = [serving._above(scores[u], at[t:t + 1], place[t:t + 1])[0] for t, u in enumerate(who)]
+    lines = []
+    above = serving._above
+    monkeypatch.setattr(serving, "_above", lambda *a: lines.append(1) or above(*a))
+    monkeypatch.setattr(serving, "TILE_ITEMS", 700)
+    assert serving._many_above(users, items, at, place, offsets).tolist() == want
+    assert bool(lines) == (kind in ("whole", "wide"))
