@@ -12,8 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
-SMALL_CHUNK = 1 << 18  # for work that holds many arrays per byte
+CHUNK_BYTES = 1 << 18  # the work holds many arrays per byte
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -27,7 +26,7 @@ def powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of a base and of its inverse modulo 2**64."""
     have = _POWERS.get(which)
     if have is None or len(have[0]) <= n:
-        size = max(n + 1, CHUNK_BYTES // 4)
+        size = max(n + 1, CHUNK_BYTES)
         out = []
         for base in (BASES[which], pow(BASES[which], -1, 1 << 64)):
             a = np.full(size + 1, base, dtype=np.uint64)

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, lists, mixed, text_chunks, word_hashes
 from tastegrid.llm.components import components
+from tastegrid.llm.memo import tidy
 from tastegrid.llm.tables import written
 from tastegrid.llm.windows import among, hashed_ids, id_bits, rows_by_id, sketch
 
@@ -87,7 +88,7 @@ def frequencies(docs: DataFrame, n: int) -> np.ndarray:
         return pd.DataFrame({"task": [int(pdf["task"].min())],
                              "counts": [zlib.compress(total.tobytes(), 1)]})
 
-    parts = docs.select("text").mapInArrow(counted, "task int, counts binary")
+    parts = docs.select("text").mapInArrow(tidy(counted), "task int, counts binary")
     for level in (1, 2, 5):  # the last takes every task there can be
         parts = parts.groupBy(F.expr(f"task div {FAN_IN ** level}L").alias("_g")).applyInPandas(
             merged, "task int, counts binary")
@@ -137,7 +138,7 @@ def signed_sets(docs: DataFrame, n: int, percent: int, order) -> DataFrame:
                     ["doc_id", "text_key", "n_shingles", "set_a", "prefix", "bits", "wide"])
 
     text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.select(F.col("doc_id").cast("long"), "text", text_key).mapInArrow(signed, kind)
+    return docs.select(F.col("doc_id").cast("long"), "text", text_key).mapInArrow(tidy(signed), kind)
 
 
 def postings(sets: DataFrame, percent: int) -> DataFrame:
@@ -167,7 +168,7 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
 
     return sets.where("n_shingles > 0 and doc_id is not null").select(
         F.col("set_a").alias("id"), "n_shingles", "prefix").mapInArrow(
-        shared, "tile long, id long, n long, short boolean")
+        tidy(shared), "tile long, id long, n long, short boolean")
 
 
 def set_arrays(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int) -> DataFrame:
@@ -193,7 +194,7 @@ def set_arrays(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int) -> Da
                     ["id", "shingles"])
 
     rows = rows_by_id(docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text"), heads, True)
-    return rows.mapInArrow(arrays, "id long, shingles binary")
+    return rows.mapInArrow(tidy(arrays), "id long, shingles binary")
 
 
 def linked(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int, percent: int) -> DataFrame:
@@ -215,7 +216,7 @@ def linked(docs: DataFrame, pairs: DataFrame, same: DataFrame, n: int, percent:
     left = arrays.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = arrays.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        checked, "a long, b long")
+        tidy(checked), "a long, b long")
 
 
 def close(percent: int) -> F.Column:

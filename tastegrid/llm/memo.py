@@ -1,8 +1,12 @@
-"""Bounded memory of what a function gave, for repeated words within one Python worker."""
+"""Memory of Python workers: what a function gave for repeated words, and what is given back after a task."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 
 class Memo(dict):
@@ -24,3 +28,20 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def give_back() -> None:
+    """Return freed memory to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, whose memory is given back at its end: idle workers keep what they hold."""
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+    return run

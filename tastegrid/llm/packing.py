@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import lists
 from tastegrid.llm.byte_bpe import byte_letters
-from tastegrid.llm.memo import Memo
+from tastegrid.llm.memo import Memo, tidy
 from tastegrid.llm.tables import slots, written
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -130,7 +130,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) ->
         gc.enable()
         gc.collect()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(pieces), PIECES)
 
 
 class Plan:

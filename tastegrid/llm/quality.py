@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, lists, mixed, text_chunks, word_hashes
+from tastegrid.llm.memo import tidy
 from tastegrid.llm.samples import FIT_ROWS, fit_sample, held_out
 
 DIM_BITS = 18
@@ -110,7 +111,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: in
         return pd.DataFrame({"weights": [ftrl(texts, pdf["y"].to_numpy()).astype(np.float32).tobytes()]})
 
     rows = (fit_sample(docs, labels, label, parts, fold, most).select("doc_id", "text", "y")
-            .mapInArrow(features, "doc_id long, y int, at array<int>, value array<float>")
+            .mapInArrow(tidy(features), "doc_id long, y int, at array<int>, value array<float>")
             .groupBy(F.lit(0).alias("all")).applyInPandas(fit, "weights binary").collect())
     if not rows:
         return np.zeros((1 << DIM_BITS) + 1, np.float32)
@@ -131,7 +132,7 @@ def scored(docs: DataFrame, weights: np.ndarray, also: tuple[str, ...] = ()) ->
             out = 1 / (1 + np.exp(-np.clip(out + w[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([pa.array(out), *batch.columns[1:]], ["score", *also])
 
-    return docs.select("text", *also).mapInArrow(score, schema)
+    return docs.select("text", *also).mapInArrow(tidy(score), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.arrays import SMALL_CHUNK, Slices, lists, text_chunks, word_hashes
+from tastegrid.llm.arrays import Slices, lists, text_chunks, word_hashes
+from tastegrid.llm.memo import tidy
 from tastegrid.llm.tables import keyed, written
 from tastegrid.llm.windows import among, anchored_runs, cut_by_spans, sketch
 
@@ -42,7 +43,7 @@ def word_runs(rows: DataFrame, window: int, gram: int, bits, cells: int, with_wi
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            for first, _, raw, offsets in text_chunks(batch.column(2), SMALL_CHUNK):
+            for first, _, raw, offsets in text_chunks(batch.column(2)):
                 words, bounds = word_hashes(raw, offsets)
                 r = anchored_runs(words, bounds, window, gram)
                 keep = among(seen, r.gram, cells)
@@ -72,7 +73,7 @@ def word_runs(rows: DataFrame, window: int, gram: int, bits, cells: int, with_wi
                            np.bincount(of[again], minlength=len(t)), pa.int32())],
                     ["_id", "_key", "gram", "whole", "start", "n", "own"])
 
-    return rows.select("_id", "_key", "text").mapInArrow(runs, WINDOWS if with_windows else RUNS)
+    return rows.select("_id", "_key", "text").mapInArrow(tidy(runs), WINDOWS if with_windows else RUNS)
 
 
 def repeated_windows(docs: DataFrame, window: int = 20, gram: int = 6, cells: int = CELLS) -> DataFrame:
@@ -81,7 +82,7 @@ def repeated_windows(docs: DataFrame, window: int = 20, gram: int = 6, cells: in
     context = docs.sparkSession.sparkContext
 
     def anchors(column: pa.Array) -> Iterator[np.ndarray]:
-        for _, _, raw, offsets in text_chunks(column, SMALL_CHUNK):
+        for _, _, raw, offsets in text_chunks(column):
             words, bounds = word_hashes(raw, offsets)
             yield anchored_runs(words, bounds, window, gram).gram
 

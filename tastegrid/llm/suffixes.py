@@ -28,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.arrays import SMALL_CHUNK, Slices, lists, text_chunks
+from tastegrid.llm.arrays import Slices, lists, text_chunks
+from tastegrid.llm.memo import tidy
 from tastegrid.llm.tables import keyed, written
 from tastegrid.llm.windows import among, anchored_runs, cut_by_spans, sketch
 
 CELLS = 1 << 26
 RUNS = "_id long, _key long, gram long, whole long, start int, lead int, piece binary"
 CUT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+CUTS = "array<struct<cut_from:int,cut_to:int>>"
 GROUPS = "gram long, whole long, cut_from int, cut_to int, repeats int"
 
 
@@ -46,7 +48,7 @@ def byte_runs(rows: DataFrame, length: int, gram: int, bits, cells: int) -> Data
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            for first, _, raw, offsets in text_chunks(batch.column(2), SMALL_CHUNK):
+            for first, _, raw, offsets in text_chunks(batch.column(2)):
                 r = anchored_runs(raw, offsets, length, gram)
                 if not len(r.text):
                     continue
@@ -65,7 +67,7 @@ def byte_runs(rows: DataFrame, length: int, gram: int, bits, cells: int) -> Data
                               pa.binary())],
                     ["_id", "_key", "gram", "whole", "start", "lead", "piece"])
 
-    return rows.select("_id", "_key", "text").mapInArrow(runs, RUNS)
+    return rows.select("_id", "_key", "text").mapInArrow(tidy(runs), RUNS)
 
 
 def padded(parts: list[bytes], width: int) -> np.ndarray:
@@ -162,7 +164,7 @@ def repeat_spans(buckets: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                           ["gram", "whole", "cut_from", "cut_to", "repeats"])
 
-    return buckets.mapInArrow(spans, GROUPS)
+    return buckets.mapInArrow(tidy(spans), GROUPS)
 
 
 def hashed_spans(pieces: DataFrame, length: int) -> DataFrame:
@@ -180,7 +182,7 @@ def hashed_spans(pieces: DataFrame, length: int) -> DataFrame:
                 ["gram", "whole", "wins"])
 
     single = (pieces.select("gram", "whole", "piece")
-              .mapInArrow(windows, "gram long, whole long, wins array<long>")
+              .mapInArrow(tidy(windows), "gram long, whole long, wins array<long>")
               .select("gram", "whole", F.posexplode("wins").alias("at", "win")))
     again = single.groupBy("gram", "win").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return (single.join(again, ["gram", "win"])
@@ -188,13 +190,25 @@ def hashed_spans(pieces: DataFrame, length: int) -> DataFrame:
                     (F.col("at") + length).alias("cut_to"), F.col("n").cast("int").alias("repeats")))
 
 
+def merged(cuts: Column) -> Column:
+    """The same bytes in as few (cut_from, cut_to) as can be: a run among many alike has many cuts that overlap."""
+    def joined(done: Column, cut: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["cut_from"].alias("cut_from"), F.greatest(last["cut_to"], cut["cut_to"]).alias("cut_to"))
+        return F.when(last["cut_to"] >= cut["cut_from"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+                      ).otherwise(F.concat(done, F.array(cut)))
+
+    return F.aggregate(F.array_sort(cuts), F.lit(None).cast(CUTS), lambda done, cut: F.when(
+        done.isNull(), F.array(cut)).otherwise(joined(done, cut)))
+
+
 def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, cells: int = CELLS,
                    bucket_rows: int = 2048) -> DataFrame:
     """(_id, _key, start, size) byte spans covered by strings that also start elsewhere."""
     rows = keyed(docs)
 
     def anchors(column: pa.Array) -> Iterator[np.ndarray]:
-        for _, _, raw, offsets in text_chunks(column, SMALL_CHUNK):
+        for _, _, raw, offsets in text_chunks(column):
             yield anchored_runs(raw, offsets, length, gram).gram
 
     bits = docs.sparkSession.sparkContext.broadcast(sketch(rows.select("text"), anchors, cells))
@@ -215,7 +229,7 @@ def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64, cells: in
     cuts = repeat_spans(trees, length).unionByName(
         hashed_spans(different.where(F.col("kinds") > bucket_rows), length))
     cuts = cuts.groupBy("gram", "whole").agg(
-        F.collect_set(F.struct("cut_from", "cut_to")).alias("cuts"))  # at most one per start in a run
+        merged(F.collect_set(F.struct("cut_from", "cut_to"))).alias("cuts"))  # at most one per start in a run
     edge = (light.join(cuts, ["gram", "whole"])
             .select("_id", "_key", F.explode("cuts").alias("cut"), "start")
             .select("_id", "_key", (F.col("start") + F.col("cut.cut_from")).alias("start"),

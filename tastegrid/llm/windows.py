@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.arrays import Slices, mixed
+from tastegrid.llm.memo import tidy
 from tastegrid.llm.tables import LAST_ID, written
 
 PENDING = 1_000_000  # sketch cells a task holds before it packs them
@@ -148,7 +149,7 @@ def sketch(values: DataFrame, grams: Callable[[pa.Array], Iterator[np.ndarray]],
 
     out = np.zeros(ROWS * cells // 8, np.uint8)
     kind = "block int, task int, cells binary"
-    parts = values.mapInArrow(touched, kind)
+    parts = values.mapInArrow(tidy(touched), kind)
     for level in (1, 2):
         group = F.expr(f"task div {FAN_IN ** level}").alias("_group")
         parts = parts.groupBy("block", group).applyInPandas(merged, kind)
@@ -183,7 +184,7 @@ def rows_by_id(rows: DataFrame, bits, inside: bool, cells: int = 1 << 24) -> Dat
         for batch in batches:
             yield batch.filter(pa.array(among(seen, hashed_ids(batch.column(0)), cells) == inside))
 
-    return rows.mapInArrow(chosen, rows.schema)
+    return rows.mapInArrow(tidy(chosen), rows.schema)
 
 
 def cut_by_spans(rows: DataFrame, spans: DataFrame, cut: Callable, schema: str, also: tuple[str, ...] = ()
@@ -198,5 +199,5 @@ def cut_by_spans(rows: DataFrame, spans: DataFrame, cut: Callable, schema: str,
     rows = rows.select("_id", "_key", F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
     whole = rows_by_id(rows, bits, False).withColumn("spans", F.lit(None).cast(per_text.schema["spans"].dataType))
     parts = rows_by_id(rows, bits, True).join(per_text, ["_id", "_key"], "left")
-    return (whole.select("doc_id", "text", "spans", *also).mapInArrow(cut, schema)
-            .unionByName(parts.select("doc_id", "text", "spans", *also).mapInArrow(cut, schema)))
+    return (whole.select("doc_id", "text", "spans", *also).mapInArrow(tidy(cut), schema)
+            .unionByName(parts.select("doc_id", "text", "spans", *also).mapInArrow(tidy(cut), schema)))

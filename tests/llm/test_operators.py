@@ -11,10 +11,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("tastegrid.llm.queries")
 
-from tastegrid.llm import (byte_bpe, components, fingerprints, jaccard, packing, quality,  # noqa: E402
+from tastegrid.llm import (arrays, byte_bpe, components, fingerprints, jaccard, memo, packing, quality,  # noqa: E402
                            rules, sharding, substrings, suffixes, toxicity)
 from tastegrid.llm.queries import tokenizer_file  # noqa: E402
 from tastegrid.session import local_session  # noqa: E402
@@ -380,7 +381,6 @@ def test_rules(spark, docs, none):
 def test_binomial_tail(spark):
     from math import comb
 
-    from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(0, 50), (3, 50), (50, 50), (2, 4000)], "k long, n long")
     got = df.select("k", "n", rules.binomial_tail(F.col("k"), F.col("n"), 0.05).alias("p")).collect()
@@ -430,3 +430,34 @@ def test_toxic_words_with_accents(spark):
     assert {"débile", "répugnant"} <= set(lexicon.words) and not any(w in lexicon.words for w in ("bile", "pugnant"))
     got = toxicity.toxicity_scores(docs, labels).where("held_out").collect()
     assert all(r.predicted == r.doc_id % 2 for r in got) and len(got) > 40
+
+
+def test_workers_keep_little_memory(monkeypatch):
+    """Texts are hashed in small chunks, and freed memory goes back when a task's batches end."""
+    texts = pa.array(["word " * 200] * 3_000 + ["long " * 100_000, None])
+    chunks = list(arrays.text_chunks(texts))
+    assert chunks[-1][1] == len(texts) and sum(len(c[2]) for c in chunks) == 3_500_000
+    assert max(len(c[2]) for c in chunks if c[1] - c[0] > 1) <= 1 << 18
+    given = []
+    monkeypatch.setattr(memo, "give_back", lambda: given.append(1))
+    batches = memo.tidy(lambda batches: (b for b in batches))(iter([1, 2]))
+    assert next(batches) == 1 and not given and list(batches) == [2] and given == [1]
+
+
+def test_cuts_of_a_run_are_merged(spark):
+    """Among many near copies a run has many cuts that overlap; a document gets what they cover once."""
+    rng = np.random.default_rng(3)
+    base = "".join(rng.choice(list("abcdefgh"), 900))
+    texts = [base[:300 + 20 * i] + "".join(rng.choice(list("xyz"), 30)) + base[300 + 20 * i:] for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = suffixes.repeated_bytes(docs).collect()
+    runs = defaultdict(list)
+    for r in spans:
+        runs[r["_id"]].append((r["start"], r["start"] + r["size"]))
+    windows = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))
+    for i, text in enumerate(texts):
+        want = {p for s in range(len(text) - 199) if windows[text[s:s + 200]] > 1 for p in range(s, s + 200)}
+        assert {p for a, b in runs[i] for p in range(a, b)} == want
+    cuts = spark.createDataFrame([([(5, 9), (0, 4), (2, 5), (12, 14), (13, 13)],), ([(1, 2)],)], f"cuts {suffixes.CUTS}")
+    got = [[tuple(c) for c in r.cuts] for r in cuts.select(suffixes.merged(F.col("cuts")).alias("cuts")).collect()]
+    assert got == [[(0, 9), (12, 14)], [(1, 2)]]
