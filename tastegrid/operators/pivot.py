@@ -7,10 +7,12 @@ item numbers each, so no row grows with the activity of a user.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.operators.neighbours import in_blocks
+from tastegrid.operators.neighbours import Pairs, with_raters
 from tastegrid.session import spread
 
 PART_ITEMS = 4_096
@@ -38,14 +40,27 @@ def unpivoted(rows: DataFrame, numbers: DataFrame) -> DataFrame:
     return cells.join(numbers, "idx").select("user_id", F.col("raw_id").alias("item_id"), "rating")
 
 
-def user_products(rows: DataFrame, asked: DataFrame) -> DataFrame:
-    """(a, b, sxy, n): the matrix times its transpose, for asked users a against all users b they share items with."""
+def user_products(rows: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """(a, b, sxy, n): the matrix times its transpose, for asked (or all) users a against all users b they share items with.
+
+    A bucket holds all lists of raters that its users meet, so a pair is added up
+    where it is formed and is never shuffled.
+    """
     cells = rows.select("user_id", F.inline(F.arrays_zip("idx", "rating")))
-    left = (cells.join(asked.select("user_id").distinct(), "user_id", "left_semi")
-            .select("idx", F.col("user_id").alias("a"), F.col("rating").alias("x")))
-    right = cells.select("idx", F.col("user_id").alias("b"), F.col("rating").alias("y"))
-    return (in_blocks(left, right, "idx", "a", "b").where("a <> b").groupBy("a", "b")
-            .agg(F.sum(F.col("x") * F.col("y")).alias("sxy"), F.count(F.lit(1)).alias("n")))
+    left = cells if asked is None else cells.join(asked.select("user_id").distinct(), "user_id", "left_semi")
+    met, _ = with_raters(left.select(F.col("idx").alias("over"), F.col("user_id").alias("a"), F.col("rating").alias("x")),
+                         cells.select(F.col("idx").alias("over"), F.col("user_id").alias("b"), F.col("rating").alias("y")))
+    kind = dict(rows.dtypes)["user_id"]
+    return met.groupBy("bucket").applyInArrow(products, f"a {kind}, b {kind}, sxy double, n long")
+
+
+def products(table: pa.Table) -> pa.Table:
+    """The sums of a bucket of ``with_raters``."""
+    pairs = Pairs(table)
+    sums = pairs.sums(pairs.of_row("x"), pairs.of_list("y"), np.arange(len(pairs.row)))
+    a, b = np.divmod(pairs.keys, max(1, len(pairs.names)))
+    return pa.table([pairs.names.take(pa.array(a)), pairs.names.take(pa.array(b)), pa.array(sums["sxy"], from_pandas=True),
+                     pa.array(sums["n"])], names=["a", "b", "sxy", "n"])
 
 
 def dense_pivot(ratings: DataFrame, items: list) -> DataFrame:

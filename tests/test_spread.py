@@ -6,7 +6,7 @@ import pytest
 
 from tastegrid import session
 from tastegrid.operators import encode, pivot
-from tastegrid.plans import recommend
+from tastegrid.plans import recommend, similar
 from tastegrid.session import local_session, spread
 from tastegrid.sources import domain
 
@@ -66,3 +66,18 @@ def test_sides_read_one_table_of_ratings(spark, folder):
     assert sorted(train.inputFiles()) == sorted(test.inputFiles())
     assert not any("lineitem" in f for f in train.inputFiles())
     assert rows_of(train.unionByName(test)) == rows_of(domain.ratings(spark, folder))
+
+
+def test_products_are_of_all_users(spark, folder):
+    """Users whose ids are no multiples of a hundred are multiplied as well."""
+    cells = {}
+    for u, i, r in rows_of(domain.ratings(spark, folder)):
+        if u is not None and i is not None:
+            cells.setdefault(u, {})[i] = r
+    want = {}
+    for a in cells:
+        for b in cells:
+            if a != b and (both := cells[a].keys() & cells[b].keys()):
+                want[a, b] = sum(cells[a][i] * cells[b][i] for i in both), len(both)
+    got = {(r.a, r.b): (r.sxy, r.n) for r in similar.user_products(spark, folder).collect()}
+    assert got == want and {a for a, _ in got} == cells.keys()
