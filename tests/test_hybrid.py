@@ -283,3 +283,48 @@ def test_ranks_in_single_precision_are_exact(monkeypatch, kind):
     monkeypatch.setattr(serving, "TILE_ITEMS", 700)
     assert serving._many_above(users, items, at, place, offsets).tolist() == want
     assert bool(lines) == (kind in ("whole", "wide"))
+
+
+@pytest.mark.parametrize("kind", ["plain", "whole", "twins", "wide"])
+def test_best_in_single_precision_are_exact(monkeypatch, kind):
+    """The best of all tiles are those of doubles, ties by item; only beyond single precision are all scores doubles."""
+    rng = np.random.default_rng(9)
+    users, items = rng.normal(size=(70, 5)), rng.normal(size=(3_000, 5))
+    if kind == "whole":
+        users, items = np.round(users), np.round(items)
+    elif kind == "twins":
+        items[1_000:2_000] = items[:1_000] + 1e-8
+        items[2_000:] = items[:1_000] + 1e-12
+    elif kind == "wide":
+        users, items = users * 1e20, items * 1e20
+    scores = users @ items.T
+    hidden = [sorted(rng.choice(np.argsort(-line)[:40], rng.integers(0, 9), replace=False).tolist()) for line in scores]
+    hidden[0] = list(range(2_997))  # three items are left
+    bar = np.full(70, -np.inf)
+    want = []
+    for u, line in enumerate(scores):
+        order = sorted((-round(float(s), 9), i) for i, s in enumerate(line) if i not in hidden[u])[:4]
+        bar[u] = -order[-1][0] if u % 2 else -np.inf  # a bar may be met
+        want += [(u, i) for _, i in order]
+    left = pa.table({"user_id": np.arange(70), "vec": pa.array(users.tolist()), "seen": pa.array(hidden, pa.list_(pa.int64())),
+                     "_bar": bar})
+    right = pa.table({"item_id": np.arange(3_000), "vec": pa.array(items.tolist())}).take(pa.array(rng.permutation(3_000)))
+    doubles = []
+    places = serving._best_places
+    monkeypatch.setattr(serving, "_best_places", lambda *a: doubles.append(1) or places(*a))
+    monkeypatch.setattr(serving, "TILE_ITEMS", 700)
+    got = serving._best("user_id", "item_id", 4)(left, right)
+    assert list(zip(got["user_id"].to_pylist(), got["item_id"].to_pylist(), strict=True)) == want
+    assert bool(doubles) == (kind == "wide")
+
+
+def test_whole_numbers_are_ranked_without_doubles(monkeypatch):
+    rng = np.random.default_rng(10)
+    users, items = rng.integers(0, 5, (70, 6)).astype(float), rng.integers(0, 2, (3_000, 6)).astype(float)
+    who, place = np.repeat(np.arange(70), 3), rng.integers(0, 3_001, 210)
+    at = np.einsum("ij,ij->i", users[who], items[np.minimum(place, 2_999)])
+    scores = users @ items.T
+    want = [serving._above(scores[u], at[t:t + 1], place[t:t + 1])[0] for t, u in enumerate(who)]
+    monkeypatch.setattr(serving, "TILE_ITEMS", 700)
+    monkeypatch.setattr(serving, "_above", None)  # lines of doubles are not asked for
+    assert serving._many_above(users, items, at, place, np.arange(71) * 3).tolist() == want
