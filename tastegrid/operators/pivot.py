@@ -48,10 +48,11 @@ def user_products(rows: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """
     cells = rows.select("user_id", F.inline(F.arrays_zip("idx", "rating")))
     left = cells if asked is None else cells.join(asked.select("user_id").distinct(), "user_id", "left_semi")
-    met, _ = with_raters(left.select(F.col("idx").alias("over"), F.col("user_id").alias("a"), F.col("rating").alias("x")),
-                         cells.select(F.col("idx").alias("over"), F.col("user_id").alias("b"), F.col("rating").alias("y")))
+    met = with_raters(left.select(F.col("idx").alias("over"), F.col("user_id").alias("a"), F.col("rating").alias("x")),
+                      cells.select(F.col("idx").alias("over"), F.col("user_id").alias("b"), F.col("rating").alias("y")))
     kind = dict(rows.dtypes)["user_id"]
-    return met.groupBy("bucket").applyInArrow(products, f"a {kind}, b {kind}, sxy double, n long")
+    opened = met.opened
+    return met.rows.groupBy("bucket").applyInArrow(lambda table: products(opened(table)), f"a {kind}, b {kind}, sxy double, n long")
 
 
 def products(table: pa.Table) -> pa.Table:

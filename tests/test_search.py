@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +70,45 @@ def test_pairs_are_not_shuffled_one_by_one(spark):
     rows = spark.createDataFrame([(1, 2, 3.0), (2, 2, 4.0), (2, 3, 4.0)], "user_id long, item_id long, rating double")
     plan = neighbours.similarities(rows, rows, "user_id", "item_id", k=1)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(a#\d+L?, b#", plan)
+
+
+def test_lists_travel_packed(spark):
+    """Rows of a bucket are packed before the shuffle, and opened they are what they were."""
+    draw = random.Random(11)
+    cells = {(draw.randrange(-9, 30), draw.randrange(20)): draw.choice([1.0, 4.0, 2.5, None]) for _ in range(200)}
+    rows = stored.written(spark.createDataFrame([(i, u, r, draw.choice([0, 1, None])) for (u, i), r in cells.items()],
+                                                "over int, a long, x double, fa int"), "packed")
+    lists = rows.withColumnsRenamed({"a": "b", "x": "y", "fa": "fb"})
+    met = neighbours.with_raters(rows, lists, 100)
+    assert met.rows.columns == ["bucket", "_parts", "packed"]
+    got = met.opened(met.rows.toArrow())
+    assert got.schema.field("over").type == pa.int32() and got.schema.field("fa").type == pa.int32()
+    order = lambda x: sorted(x, key=repr)
+    pairs = order((r["over"], r["a"], r["x"], r["fa"], *one) for r in got.to_pylist()
+                  for one in zip(r["b"], r["y"], r["fb"], strict=True))
+    assert pairs == order(map(tuple, rows.join(lists, "over").select("over", "a", "x", "fa", "b", "y", "fb").collect()))
+    # fewer pairs at a time change nothing, and ids that are no numbers travel as they are
+    text = neighbours.with_raters(*[f.withColumn(c, F.col(c).cast("string")) for f, c in ((rows, "a"), (lists, "b"))], 100)
+    assert "packed" not in text.rows.columns
+    assert order((r["over"], int(r["a"]), int(b)) for r in text.rows.toArrow().to_pylist() for b in r["b"]) == order(
+        (o, a, b) for o, a, _, _, b, _, _ in pairs)
+
+
+def test_only_errors_leave_a_bucket(spark):
+    """No prediction is shuffled, and a rating without a user or an item gets the mean of the other folds."""
+    rows = stored.written(spark.createDataFrame([(1, 2, 3.0, 0), (2, 2, 4.0, 1), (None, 2, 1.0, 0), (3, None, 5.0, 1)],
+                                                "user_id long, item_id long, rating double, fold int"), "lone")
+    grid = search.knn_grid(rows, (2,), ("msd",), folds=2)
+    assert not re.search(r"hashpartitioning\(a#\d+L?, over#", grid._jdf.queryExecution().executedPlan().toString())
+    squares = [(3 - 4.5) ** 2 + (1 - 4.5) ** 2, (4 - 2.0) ** 2 + (5 - 2.0) ** 2]
+    want = sum((s / 2) ** 0.5 for s in squares) / 2
+    assert [r.rmse for r in grid.collect()] == [pytest.approx(want)] * 2
+
+
+def test_models_of_one_likeness_share_their_neighbours(spark):
+    rows = spark.createDataFrame([(1, 1, 5.0), (1, 2, 4.0), (2, 1, 5.0), (2, 2, 3.0), (3, 1, 4.0)], "user_id long, item_id long, rating double")
+    asked = spark.createDataFrame([(3, 2)], "user_id long, item_id long")
+    near = stored.written(neighbours.nearest(rows, asked, 2, "msd"), "near")
+    for centred in (False, True):
+        assert neighbours.knn_predictions(rows, asked, 2, "msd", True, centred, near).collect() == \
+            neighbours.knn_predictions(rows, asked, 2, "msd", True, centred).collect()
